@@ -5,15 +5,14 @@ provably give the same merge list as one merge at a time would.
 
 State:
 
-* ``words``   - written table ``(seq, cnt)`` of distinct words with more than
-  one symbol, as they were at the last rewrite;
-* ``pairs``   - written counts of the pairs at or above ``floor`` at that time;
-* ``pending`` - the merges since then, at most ``PENDING``.
+* ``pairs`` - written counts of the pairs at or above ``floor``;
+* ``words`` - distinct words with more than one symbol, ``(old_seq, seq, cnt)``:
+  the word when ``pairs`` was written, and now.
 
-A round reads only these two tables: it applies the pending merges on the fly
-and adds the changes of the words they touch to the written pair counts.  So
-plans stay flat, a lost executor costs one re-read, and all words are counted
-only when ``floor`` is lowered.
+A round replaces its merges in ``words``, and adds the pairs that changed since
+``pairs`` was written to those counts.  All words are counted only when
+``floor`` is lowered.  Every few rounds both tables are written to the shared
+folder, so plans stay short and a lost executor costs a few rounds at most.
 
 Counts of existing pairs only fall, and a new pair starts with its full count,
 so a pair below ``floor`` never comes back above it.  (A merge whose bytes are
@@ -27,7 +26,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions.symbols import Alphabet, neighbours, string_array
@@ -38,7 +37,8 @@ from pairloom.session import drop_scratch, settle
 from pairloom.sources import states
 
 CANDIDATES = 64  # pairs looked at per round
-PENDING = 64  # merges between rewrites; each costs every word one search per round
+ROUNDS_PER_TABLE = 8  # rounds between two written tables
+BATCH = 64  # merges per round
 PAIRS_KEPT = 5_000  # at least so many pairs lie at or above the floor
 
 
@@ -176,35 +176,33 @@ class _Tables:
     def __init__(self, words: DataFrame, alphabet: Alphabet) -> None:
         self.spark = words.sparkSession
         self.alphabet = alphabet
-        self.pending: list[PackedMerge] = []
+        self.age = 0  # rounds since the tables were written
+        self._outdated: DataFrame | None = None
         self._paths: list[str] = []
-        self._words = self._write(words.filter(F.length("seq") > 1).select("seq", "cnt"), "words")
+        self.words = self._write_words(words)
         self._count_pairs()
 
     def _write(self, frame: DataFrame, name: str) -> DataFrame:
         table, path = settle(frame, name)
         self._paths.append(path)
-        return table.persist()
+        return table
+
+    def _write_words(self, words: DataFrame) -> DataFrame:
+        live = self._write(words.filter(F.length("seq") > 1).select("seq", "cnt"), "words")
+        return live.select(F.col("seq").alias("old_seq"), "seq", "cnt").persist()
 
     def _count_pairs(self) -> None:
-        pairs = packed_pairs(self._words).persist()
+        pairs = packed_pairs(self.words).persist()
         self.floor = choose_floor(pairs)
-        self._pairs = self._write(pairs.filter(F.col("cnt") >= self.floor), "pairs")
+        self._pairs = self._write(pairs.filter(F.col("cnt") >= self.floor), "pairs").persist()
         pairs.unpersist()
 
-    def _merged(self) -> Column:
-        return replace_all(F.col("seq"), self.pending)
-
-    def words(self) -> DataFrame:
-        return self._words.select(self._merged().alias("seq"), "cnt")
-
     def pairs(self) -> DataFrame:
         """Current counts at or above the floor."""
-        if not self.pending:
+        if not self.age:
             return self._pairs
-        touched = self._words.select(F.col("seq").alias("old_seq"), self._merged().alias("seq"), "cnt")
         return (
-            self._pairs.unionByName(signed_pairs(touched))
+            self._pairs.unionByName(signed_pairs(self.words))
             .groupBy("pair")
             .agg(F.sum("cnt").alias("cnt"))
             .filter(F.col("cnt") >= self.floor)
@@ -214,29 +212,39 @@ class _Tables:
         ranked = with_sides(self.pairs(), self.alphabet, "pair", "cnt").orderBy(
             F.desc("cnt"), F.desc("l"), F.desc("r")
         )
-        return [
-            Candidate(bytes.fromhex(r["l"]), bytes.fromhex(r["r"]), r["pair"], r["cnt"])
-            for r in ranked.limit(CANDIDATES).collect()
-        ]
+        rows = ranked.limit(CANDIDATES).collect()
+        self._drop_outdated()  # the count has filled the cache of its successor
+        return [Candidate(bytes.fromhex(r["l"]), bytes.fromhex(r["r"]), r["pair"], r["cnt"]) for r in rows]
+
+    def _drop_outdated(self) -> None:
+        if self._outdated is not None:
+            self._outdated.unpersist()
+            self._outdated = None
+
+    def merge(self, merges: Sequence[PackedMerge]) -> None:
+        self._outdated = self.words
+        self.words = self.words.withColumn("seq", replace_all(F.col("seq"), merges)).persist()
+        self.age += 1
 
     def rewrite(self, count_again: bool = False) -> None:
-        """Write both tables with the pending merges applied."""
-        old_frames, old_paths = (self._words, self._pairs), self._paths
+        """Write both tables anew from the current words."""
+        old_frames, old_paths = (self.words, self._pairs), self._paths
         self._paths = []
-        words = self._write(self.words().filter(F.length("seq") > 1), "words")
+        words = self._write_words(self.words)
         if count_again:
-            self._words = words
+            self.words = words
             self._count_pairs()
         else:
-            self._pairs = self._write(self.pairs(), "pairs")
-            self._words = words
-        self.pending = []
+            self._pairs = self._write(self.pairs(), "pairs").persist()
+            self.words = words
+        self.age = 0
         self._release(old_frames, old_paths)
 
     def close(self) -> None:
-        self._release((self._words, self._pairs), self._paths)
+        self._release((self.words, self._pairs), self._paths)
 
     def _release(self, frames: Sequence[DataFrame], paths: Sequence[str]) -> None:
+        self._drop_outdated()
         for frame in frames:
             frame.unpersist()
         for path in paths:
@@ -286,22 +294,20 @@ def _run(training: Training, words: DataFrame, vocab_size: int, state_path: str
                 tables.rewrite(count_again=True)
                 continue
             prefix = separable_prefix(candidates, alphabet)
-            prefix = prefix[: min(budget - len(training.merges), PENDING)]
+            prefix = prefix[: min(budget - len(training.merges), BATCH)]
             if len(prefix) > 1:
-                prefix = accept(prefix, extension_counts(tables.words(), prefix))
-            if len(tables.pending) + len(prefix) > PENDING:
-                tables.rewrite()
-                if state_path is not None:
-                    states.write_training_state(tables.words(), training.merges, training.merge_counts, state_path)
+                prefix = accept(prefix, extension_counts(tables.words, prefix))
             known_bytes = prefix[0].result in alphabet
-            tables.pending += [PackedMerge(c.pair, alphabet.add(c.result)) for c in prefix]
+            tables.merge([PackedMerge(c.pair, alphabet.add(c.result)) for c in prefix])
             training.merges += [(c.left, c.right) for c in prefix]
             training.merge_counts += [c.cnt for c in prefix]
             training.rounds += 1
-            if known_bytes:
-                tables.rewrite(count_again=True)
+            if known_bytes or tables.age == ROUNDS_PER_TABLE:
+                tables.rewrite(count_again=known_bytes)
+                if state_path is not None:
+                    states.write_training_state(tables.words, training.merges, training.merge_counts, state_path)
         if state_path is not None:
-            states.write_training_state(tables.words(), training.merges, training.merge_counts, state_path)
+            states.write_training_state(tables.words, training.merges, training.merge_counts, state_path)
     finally:
         tables.close()
     return training
