@@ -14,6 +14,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pairloom.functions.binding import bind
+
 _SURROGATES_FROM, _SURROGATES_TO = 0xD800, 0xDFFF
 _LAST_CHAR = 0x10FFFF
 
@@ -38,8 +40,8 @@ def bracketed(text: Column) -> Column:
 def neighbours(seq: Column, width: int = 2) -> Column:
     """All runs of ``width`` adjacent symbols, overlapping ones included.
 
-    The one-element outer ``transform`` binds the split characters, so that
-    they are computed once per word and not once per run.
+    The split characters are bound, so that they are computed once per word and
+    not once per run.
     """
 
     def runs(chars: Column) -> Column:
@@ -49,7 +51,7 @@ def neighbours(seq: Column, width: int = 2) -> Column:
             lambda c, i: F.concat(c, *[F.get(chars, i + step) for step in range(1, width)]),
         )
 
-    return F.get(F.transform(F.array(F.split(seq, "")), runs), F.lit(0))
+    return bind(F.split(seq, ""), runs)
 
 
 class Alphabet:

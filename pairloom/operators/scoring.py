@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.functions.binding import bind
 from pairloom.functions.draws import hashed_unit
 from pairloom.operators.running import running_total
 
@@ -32,19 +33,19 @@ def apply_temperature(logits: DataFrame, temperature: float, logit_col: str = "l
 
 
 def array_log_sum_exp(values: Column) -> Column:
-    top = F.array_max(values)
-    total = F.aggregate(values, F.lit(0.0), lambda s, v: s + F.exp(v - top))
-    return top + F.ln(total)
+    return bind(
+        F.struct(values.alias("v"), F.array_max(values).alias("top")),
+        lambda b: b["top"] + F.ln(F.aggregate(b["v"], F.lit(0.0), lambda s, x: s + F.exp(x - b["top"]))),
+    )
 
 
 def softmax_array(values: Column) -> Column:
-    """Softmax of an array column; the array is bound once, not once per element."""
+    """Softmax of an array column."""
     doubled = values.cast("array<double>")
-    bound = F.transform(
-        F.array(F.struct(doubled.alias("v"), array_log_sum_exp(doubled).alias("lse"))),
+    return bind(
+        F.struct(doubled.alias("v"), array_log_sum_exp(doubled).alias("lse")),
         lambda b: F.transform(b["v"], lambda x: F.exp(x - b["lse"])),
     )
-    return F.get(bound, F.lit(0))
 
 
 def cross_entropy_array(values: Column, target: Column) -> Column:
@@ -140,18 +141,11 @@ def embedding_lookup(tokens: DataFrame, vectors: DataFrame, token_col: str = "to
 def rms_normalize(vector: Column, weight: Column | None = None, eps: float = RMS_EPS) -> Column:
     """``x * w / sqrt(mean(x^2) + eps)``; without a weight ``w`` is one."""
     doubled = vector.cast("array<double>")
-    bound = F.transform(
-        F.array(
-            F.struct(
-                doubled.alias("v"),
-                F.sqrt(
-                    F.aggregate(doubled, F.lit(0.0), lambda s, x: s + x * x) / F.size(doubled) + F.lit(eps)
-                ).alias("rms"),
-            )
-        ),
+    squares = F.aggregate(doubled, F.lit(0.0), lambda s, x: s + x * x)
+    unit = bind(
+        F.struct(doubled.alias("v"), F.sqrt(squares / F.size(doubled) + F.lit(eps)).alias("rms")),
         lambda b: F.transform(b["v"], lambda x: x / b["rms"]),
     )
-    unit = F.get(bound, F.lit(0))
     if weight is None:
         return unit
     return F.zip_with(unit, weight.cast("array<double>"), lambda x, w: x * w)
