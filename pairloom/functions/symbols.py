@@ -14,8 +14,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pairloom.functions.binding import bind
-
 _SURROGATES_FROM, _SURROGATES_TO = 0xD800, 0xDFFF
 _LAST_CHAR = 0x10FFFF
 
@@ -40,18 +38,10 @@ def bracketed(text: Column) -> Column:
 def neighbours(seq: Column, width: int = 2) -> Column:
     """All runs of ``width`` adjacent symbols, overlapping ones included.
 
-    The split characters are bound, so that they are computed once per word and
-    not once per run.
+    A look-ahead takes the run while one character is consumed, so the time is
+    linear in the word's length.
     """
-
-    def runs(chars: Column) -> Column:
-        count = F.greatest(F.size(chars) - (width - 1), F.lit(0))
-        return F.transform(
-            F.slice(chars, F.lit(1), count),
-            lambda c, i: F.concat(c, *[F.get(chars, i + step) for step in range(1, width)]),
-        )
-
-    return bind(F.split(seq, ""), runs)
+    return F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{width}}}))."), F.lit(1))
 
 
 class Alphabet:

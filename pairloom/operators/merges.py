@@ -28,13 +28,19 @@ def pack_merges(merges: Iterable[tuple[bytes, bytes]], alphabet: Alphabet) -> li
     ]
 
 
+CHAINED = 8  # as many nested calls still fit one compiled method
+
+
 def replace_all(seq: Column, merges: Sequence[PackedMerge]) -> Column:
     """The sequence after all merges, applied in order.
 
-    One ``aggregate`` over a folded array literal: a chain of as many nested
-    ``replace`` calls would generate methods too large to be compiled.
+    A few merges become nested ``replace`` calls in generated code.  A longer
+    chain would generate methods too large to be compiled, so more merges run
+    as one ``aggregate`` over a folded array literal.
     """
-    if not merges:
+    if len(merges) <= CHAINED:
+        for merge in merges:
+            seq = F.replace(seq, F.lit(merge.pair), F.lit(merge.result))
         return seq
     steps = F.arrays_zip(
         string_array([m.pair for m in merges]).alias("pair"),
@@ -54,15 +60,14 @@ def signed_pairs(changes: DataFrame) -> DataFrame:
     Reads ``(old_seq, seq, cnt)`` and skips the words that did not change.
     """
 
-    def with_sign(seq: str, sign: int) -> Column:
-        return F.transform(
-            neighbours(F.col(seq)), lambda p: F.struct(p.alias("pair"), F.lit(sign).alias("sign"))
-        )
-
+    both = F.array(
+        F.struct(F.col("seq").alias("seq"), F.col("cnt").alias("cnt")),
+        F.struct(F.col("old_seq").alias("seq"), (-F.col("cnt")).alias("cnt")),
+    )
     return (
         changes.filter(F.col("seq") != F.col("old_seq"))
-        .select(F.explode(F.concat(with_sign("seq", 1), with_sign("old_seq", -1))).alias("p"), "cnt")
-        .select(F.col("p.pair").alias("pair"), (F.col("p.sign") * F.col("cnt")).alias("cnt"))
+        .select(F.explode(both).alias("w"))
+        .select(F.explode(neighbours(F.col("w.seq"))).alias("pair"), F.col("w.cnt").alias("cnt"))
     )
 
 

@@ -5,26 +5,26 @@ provably give the same merge list as one merge at a time would.
 
 State:
 
-* ``pairs`` - written counts of the pairs at or above ``floor``;
 * ``words`` - distinct words with more than one symbol, ``(old_seq, seq, cnt)``:
-  the word when ``pairs`` was written, and now.
+  the word before and after the last round;
+* ``pairs`` - written counts of the pairs at or above ``floor``.
 
-A round replaces its merges in ``words``, and adds the pairs that changed since
-``pairs`` was written to those counts.  All words are counted only when
-``floor`` is lowered.  Every few rounds both tables are written to the shared
-folder, so plans stay short and a lost executor costs a few rounds at most.
+A round replaces its merges in ``words`` and adds what changed to ``pairs``,
+which is written anew each time; it is small next to the words.  All words are
+counted only when ``floor`` is lowered.  The words are cached, and written
+every few rounds, so plans stay short and a lost executor costs a few rounds.
 
 Counts of existing pairs only fall, and a new pair starts with its full count,
 so a pair below ``floor`` never comes back above it.  (A merge whose bytes are
 already a symbol is the exception and forces a full count.)
 
-The driver holds the merge list and at most ``CANDIDATES`` pairs per round.
+The driver holds the merge list and at most ``MOST_CANDIDATES`` pairs per round.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +36,8 @@ from pairloom.operators.vocab import BYTE_TOKENS, merged_vocab, merges_table
 from pairloom.session import drop_scratch, settle
 from pairloom.sources import states
 
-CANDIDATES = 64  # pairs looked at per round
-ROUNDS_PER_TABLE = 8  # rounds between two written tables
-BATCH = 64  # merges per round
+FEWEST_CANDIDATES, MOST_CANDIDATES = 32, 256  # pairs looked at per round
+ROUNDS_PER_TABLE = 8  # rounds between two written word tables
 PAIRS_KEPT = 5_000  # at least so many pairs lie at or above the floor
 
 
@@ -53,6 +52,26 @@ class Candidate:
     def result(self) -> bytes:
         return self.left + self.right
 
+    @property
+    def key(self) -> tuple[int, bytes, bytes]:
+        """Order of choice: greatest count, then greatest pair."""
+        return self.cnt, self.left, self.right
+
+
+@dataclass(frozen=True)
+class Surroundings:
+    """What stands next to the candidates at the start of a round.
+
+    ``before`` and ``after`` hold per pair ``ab`` the greatest count of a run
+    ``xab`` and of a run ``aby``: bounds on the pairs that merging ``ab``
+    creates.  ``overlaps`` holds the counts of runs whose two halves are both
+    candidates.
+    """
+
+    before: dict[str, int]
+    after: dict[str, int]
+    overlaps: dict[str, int]
+
 
 @dataclass
 class Training:
@@ -78,77 +97,98 @@ def merge_budget(vocab_size: int, special_tokens: Sequence[str]) -> int:
     return budget
 
 
-def separable_prefix(candidates: Sequence[Candidate], alphabet: Alphabet) -> list[Candidate]:
-    """Leading candidates whose counts do not depend on one another's merge.
-
-    Ends before a pair that shares a symbol position with an earlier one
-    (``.. a b`` / ``b d ..``), is a self-pair, or makes known bytes.  If the
-    first is of these two kinds, it stands alone.
-    """
-    chosen: list[Candidate] = []
-    lefts: set[bytes] = set()
-    rights: set[bytes] = set()
-    made: set[bytes] = set()
-    for c in candidates:
-        special_case = c.left == c.right or c.result in alphabet or c.result in made
-        if special_case or c.left in rights or c.right in lefts:
-            if not chosen:
-                chosen.append(c)
-            break
-        chosen.append(c)
-        lefts.add(c.left)
-        rights.add(c.right)
-        made.add(c.result)
-    return chosen
-
-
-def extension_counts(words: DataFrame, candidates: Sequence[Candidate]) -> dict[str, tuple[int, int]]:
-    """Per pair ``ab``: greatest count of a run ``xab`` and of a run ``aby``.
-
-    These bound the counts of the pairs that the merge of ``ab`` creates.
-    """
-    wanted = [c.pair for c in candidates]
-    holds_one = F.exists(string_array(wanted), lambda p: F.contains(F.col("seq"), p))
+def surroundings(words: DataFrame, candidates: Sequence[Candidate]) -> Surroundings:
+    """One pass over the words that hold a candidate; returns at most a row per candidate."""
+    wanted = string_array([c.pair for c in candidates])
     head, tail = F.substring("run", 1, 2), F.substring("run", 2, 2)
     runs = (
-        words.filter(holds_one)
+        words.filter(F.exists(wanted, lambda p: F.contains(F.col("seq"), p)))
         .select(F.explode(neighbours(F.col("seq"), 3)).alias("run"), "cnt")
-        .filter(F.array_contains(string_array(wanted), head) | F.array_contains(string_array(wanted), tail))
         .groupBy("run")
         .agg(F.sum("cnt").alias("cnt"))
+        .withColumn("head", F.array_contains(wanted, head))
+        .withColumn("tail", F.array_contains(wanted, tail))
     )
     sides = F.array(
-        F.struct(head.alias("pair"), F.lit(True).alias("after")),
-        F.struct(tail.alias("pair"), F.lit(False).alias("after")),
+        F.when(F.col("head"), F.struct(head.alias("pair"), F.lit(True).alias("after"))),
+        F.when(F.col("tail"), F.struct(tail.alias("pair"), F.lit(False).alias("after"))),
     )
-    bounds = (
-        runs.select(F.explode(sides).alias("s"), "cnt")
-        .filter(F.array_contains(string_array(wanted), F.col("s.pair")))
+    per_pair = (
+        runs.filter(F.col("head") | F.col("tail"))
+        .select("run", "cnt", (F.col("head") & F.col("tail")).alias("both"), F.explode(F.array_compact(sides)).alias("s"))
         .groupBy(F.col("s.pair").alias("pair"))
         .agg(
             F.max(F.when(~F.col("s.after"), F.col("cnt"))).alias("before"),
             F.max(F.when(F.col("s.after"), F.col("cnt"))).alias("after"),
+            F.collect_list(F.when(F.col("both") & F.col("s.after"), F.struct("run", "cnt"))).alias("overlaps"),
         )
     )
-    found = {r["pair"]: (r["before"] or 0, r["after"] or 0) for r in bounds.collect()}
-    return {pair: found.get(pair, (0, 0)) for pair in wanted}
-
+    rows = per_pair.collect()
+    return Surroundings(
+        {r["pair"]: r["before"] or 0 for r in rows},
+        {r["pair"]: r["after"] or 0 for r in rows},
+        {o["run"]: o["cnt"] for r in rows for o in r["overlaps"]},
+    )
 
-def accept(prefix: Sequence[Candidate], bounds: dict[str, tuple[int, int]]) -> list[Candidate]:
-    """Candidates that outrank every pair the earlier ones can create.
 
-    A created pair ``(x, ab)`` must have a lower count.  For ``(ab, y)`` an
-    equal count is enough if the candidate's left side is above ``ab``, as ties
-    go to the greater pair.
+def choose_batch(
+    candidates: Sequence[Candidate],
+    around: Callable[[Sequence[Candidate]], Surroundings],
+    alphabet: Alphabet,
+    limit: int,
+    complete: bool,
+) -> list[Candidate]:
+    """Merges that one-at-a-time training would make next, in order, as many as are certain.
+
+    ``candidates`` are the best pairs in order; ``complete`` says that there
+    are no others.  After each choice the counts of the remaining candidates
+    are brought up to date:
+
+    * choosing ``ab`` takes from ``bd`` the runs ``abd``, and from ``ca`` the
+      runs ``cab``; other candidates keep their counts;
+    * where that is not exactly known - the choice's own count was already
+      reduced, or a candidate loses on both sides - the candidate is blurred:
+      its count is now an upper bound.
+
+    Self-pairs and pairs that make known bytes are blurred from the start.  The
+    next choice must be exact and outrank every blurred candidate, every pair
+    outside the list, and every pair that the choices so far create.  Of the
+    created pairs, ``(x, ab)`` must have a lower count; for ``(ab, y)`` an
+    equal count is enough if the choice's left side is above ``ab``.
     """
-    taken = [prefix[0]]
-    for c in prefix[1:]:
-        for earlier in taken:
-            before, after = bounds[earlier.pair]
-            if c.cnt <= before or c.cnt < after or (c.cnt == after and c.left <= earlier.result):
-                return taken
-        taken.append(c)
-    return taken
+    first = candidates[0]
+    if limit == 1 or first.left == first.right or first.result in alphabet:
+        return [first]
+    around_them = around(candidates)
+    last_key = (0, b"", b"") if complete else candidates[-1].key
+    exact = {c.pair: c for c in candidates if c.left != c.right and c.result not in alphabet}
+    blurred = {c.pair: c for c in candidates if c.pair not in exact}
+    reduced: dict[str, str] = {}  # pair -> side on which it has lost runs
+    chosen: list[Candidate] = []
+    while exact and len(chosen) < limit:
+        best = max(exact.values(), key=lambda c: c.key)
+        if best.key < last_key or any(b.key > best.key for b in blurred.values()):
+            break
+        for made in chosen:
+            before, after = around_them.before.get(made.pair, 0), around_them.after.get(made.pair, 0)
+            if best.cnt <= before or best.cnt < after or (best.cnt == after and best.left <= made.result):
+                return chosen
+        chosen.append(best)
+        del exact[best.pair]
+        for c in list(exact.values()):
+            after_best, before_best = c.left == best.right, c.right == best.left
+            if c.result == best.result:
+                blurred[c.pair] = exact.pop(c.pair)
+            elif after_best or before_best:
+                side = "left" if after_best else "right"
+                both = (after_best and before_best) or reduced.get(c.pair, side) != side
+                if both or best.pair in reduced:
+                    blurred[c.pair] = exact.pop(c.pair)
+                else:
+                    run = best.pair[0] + c.pair if after_best else c.pair + best.pair[1]
+                    exact[c.pair] = replace(c, cnt=c.cnt - around_them.overlaps.get(run, 0))
+                    reduced[c.pair] = side
+    return chosen
 
 
 def choose_floor(pairs: DataFrame) -> int:
@@ -176,79 +216,62 @@ class _Tables:
     def __init__(self, words: DataFrame, alphabet: Alphabet) -> None:
         self.spark = words.sparkSession
         self.alphabet = alphabet
-        self.age = 0  # rounds since the tables were written
-        self._outdated: DataFrame | None = None
-        self._paths: list[str] = []
-        self.words = self._write_words(words)
+        self.age = 0  # rounds since the words were written
+        self._write_words(words)
         self._count_pairs()
 
-    def _write(self, frame: DataFrame, name: str) -> DataFrame:
-        table, path = settle(frame, name)
-        self._paths.append(path)
-        return table
+    def _write_words(self, words: DataFrame) -> None:
+        live = words.filter(F.length("seq") > 1).select("seq", "cnt")
+        table, self._words_path = settle(live, "words")
+        self.words = table.select(F.col("seq").alias("old_seq"), "seq", "cnt").persist()
+        self.age = 0
 
-    def _write_words(self, words: DataFrame) -> DataFrame:
-        live = self._write(words.filter(F.length("seq") > 1).select("seq", "cnt"), "words")
-        return live.select(F.col("seq").alias("old_seq"), "seq", "cnt").persist()
+    def _write_pairs(self, pairs: DataFrame) -> None:
+        self.pairs, self._pairs_path = settle(pairs.filter(F.col("cnt") >= self.floor), "pairs")
 
     def _count_pairs(self) -> None:
         pairs = packed_pairs(self.words).persist()
         self.floor = choose_floor(pairs)
-        self._pairs = self._write(pairs.filter(F.col("cnt") >= self.floor), "pairs").persist()
+        self._write_pairs(pairs)
         pairs.unpersist()
 
-    def pairs(self) -> DataFrame:
-        """Current counts at or above the floor."""
-        if not self.age:
-            return self._pairs
-        return (
-            self._pairs.unionByName(signed_pairs(self.words))
-            .groupBy("pair")
-            .agg(F.sum("cnt").alias("cnt"))
-            .filter(F.col("cnt") >= self.floor)
-        )
-
-    def best(self) -> list[Candidate]:
-        ranked = with_sides(self.pairs(), self.alphabet, "pair", "cnt").orderBy(
+    def best(self, k: int) -> list[Candidate]:
+        ranked = with_sides(self.pairs, self.alphabet, "pair", "cnt").orderBy(
             F.desc("cnt"), F.desc("l"), F.desc("r")
         )
-        rows = ranked.limit(CANDIDATES).collect()
-        self._drop_outdated()  # the count has filled the cache of its successor
-        return [Candidate(bytes.fromhex(r["l"]), bytes.fromhex(r["r"]), r["pair"], r["cnt"]) for r in rows]
-
-    def _drop_outdated(self) -> None:
-        if self._outdated is not None:
-            self._outdated.unpersist()
-            self._outdated = None
+        return [
+            Candidate(bytes.fromhex(r["l"]), bytes.fromhex(r["r"]), r["pair"], r["cnt"])
+            for r in ranked.limit(k).collect()
+        ]
 
     def merge(self, merges: Sequence[PackedMerge]) -> None:
-        self._outdated = self.words
-        self.words = self.words.withColumn("seq", replace_all(F.col("seq"), merges)).persist()
+        old_words, old_path = self.words, self._pairs_path
+        self.words = old_words.select(
+            F.col("seq").alias("old_seq"), replace_all(F.col("seq"), merges).alias("seq"), "cnt"
+        ).persist()
+        changed = self.pairs.unionByName(signed_pairs(self.words))
+        self._write_pairs(changed.groupBy("pair").agg(F.sum("cnt").alias("cnt")))
+        old_words.unpersist()
+        drop_scratch(self.spark, old_path)
         self.age += 1
 
-    def rewrite(self, count_again: bool = False) -> None:
-        """Write both tables anew from the current words."""
-        old_frames, old_paths = (self.words, self._pairs), self._paths
-        self._paths = []
-        words = self._write_words(self.words)
-        if count_again:
-            self.words = words
-            self._count_pairs()
-        else:
-            self._pairs = self._write(self.pairs(), "pairs").persist()
-            self.words = words
-        self.age = 0
-        self._release(old_frames, old_paths)
+    def rewrite_words(self) -> None:
+        """Cut the lineage of the words and leave out those without a pair."""
+        old_words, old_path = self.words, self._words_path
+        self._write_words(old_words)
+        old_words.unpersist()
+        drop_scratch(self.spark, old_path)
 
-    def close(self) -> None:
-        self._release((self.words, self._pairs), self._paths)
+    def count_again(self) -> None:
+        """Count the pairs of all words, and choose a new floor."""
+        old_path = self._pairs_path
+        self._count_pairs()
+        drop_scratch(self.spark, old_path)
 
-    def _release(self, frames: Sequence[DataFrame], paths: Sequence[str]) -> None:
-        self._drop_outdated()
-        for frame in frames:
-            frame.unpersist()
-        for path in paths:
-            drop_scratch(self.spark, path)
+    def close(self) -> None:
+        self.words.unpersist()
+        drop_scratch(self.spark, self._words_path)
+        drop_scratch(self.spark, self._pairs_path)
 
 
 def train_bpe(
@@ -285,29 +308,39 @@ def _run(training: Training, words: DataFrame, vocab_size: int, state_path: str
         return training
     alphabet = Alphabet(l + r for l, r in training.merges)
     tables = _Tables(words, alphabet)
+    k = FEWEST_CANDIDATES
+
+    def save() -> None:
+        if state_path is not None:
+            states.write_training_state(tables.words, training.merges, training.merge_counts, state_path)
+
     try:
         while len(training.merges) < budget:
-            candidates = tables.best()
+            candidates = tables.best(k)
             if not candidates:
                 if tables.floor == 1:
                     break
-                tables.rewrite(count_again=True)
+                tables.count_again()
                 continue
-            prefix = separable_prefix(candidates, alphabet)
-            prefix = prefix[: min(budget - len(training.merges), BATCH)]
-            if len(prefix) > 1:
-                prefix = accept(prefix, extension_counts(tables.words, prefix))
-            known_bytes = prefix[0].result in alphabet
-            tables.merge([PackedMerge(c.pair, alphabet.add(c.result)) for c in prefix])
-            training.merges += [(c.left, c.right) for c in prefix]
-            training.merge_counts += [c.cnt for c in prefix]
+            batch = choose_batch(
+                candidates,
+                lambda some: surroundings(tables.words, some),
+                alphabet,
+                budget - len(training.merges),
+                complete=tables.floor == 1 and len(candidates) < k,
+            )
+            known_bytes = batch[0].result in alphabet
+            tables.merge([PackedMerge(c.pair, alphabet.add(c.result)) for c in batch])
+            training.merges += [(c.left, c.right) for c in batch]
+            training.merge_counts += [c.cnt for c in batch]
             training.rounds += 1
-            if known_bytes or tables.age == ROUNDS_PER_TABLE:
-                tables.rewrite(count_again=known_bytes)
-                if state_path is not None:
-                    states.write_training_state(tables.words, training.merges, training.merge_counts, state_path)
-        if state_path is not None:
-            states.write_training_state(tables.words, training.merges, training.merge_counts, state_path)
+            k = min(max(FEWEST_CANDIDATES, 4 * len(batch)), MOST_CANDIDATES)
+            if known_bytes:
+                tables.count_again()
+            if tables.age == ROUNDS_PER_TABLE:
+                tables.rewrite_words()
+                save()
+        save()
     finally:
         tables.close()
     return training

@@ -18,6 +18,7 @@ def local_session(cores: int = 8, app: str = "pairloom", **conf: str) -> SparkSe
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(cores),
         "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
         # call-site capture costs more than planning when a loop builds many plans
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
