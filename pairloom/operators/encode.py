@@ -86,10 +86,8 @@ def encode_pieces(frame: DataFrame, tokenizer: Tokenizer, pieces_col: str, out_c
             columns = [batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays([*columns, ids], [*(f.name for f in kept), out_col])
 
-    filled = frame.withColumn(
-        pieces_col, F.coalesce(F.filter(pieces_col, lambda p: p.isNotNull()), F.array().cast("array<string>"))
-    )
-    return filled.mapInArrow(run, schema)
+    none = F.array().cast("array<string>")
+    return frame.withColumn(pieces_col, F.coalesce(pieces_col, none)).mapInArrow(run, schema)
 
 
 def encode_pretokens(counts: DataFrame, tokenizer: Tokenizer, pretoken_col: str = "pretoken") -> DataFrame:

@@ -23,7 +23,7 @@ from pairloom.operators import (
 )
 from pairloom.plans import generate, train
 from pairloom.session import scratch_path
-from pairloom.sources import artifacts, corpus
+from pairloom.sources import artifacts, corpus, tables
 from pairloom.streaming import encode as streaming
 
 SPECIALS = (END_OF_TEXT,)
@@ -43,12 +43,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return tables.read_table(spark, f"{folder}/{name}.parquet")
+
+
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return tables.read_texts(spark, f"{folder}/{name}.parquet")
 
 
 def marked_turns(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns with a special token after the role and after the text."""
-    turns = table(spark, folder, "conversations")
+    turns = texts(spark, folder, "conversations")
     return turns.select(
         "conv_id",
         "turn",
@@ -60,7 +64,7 @@ TURN = ("conv_id", "turn")
 
 
 def word_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return counts.count_pretokens(table(spark, folder, "documents"), SPECIALS, PRETOKEN_PATTERN)
+    return counts.count_pretokens(texts(spark, folder, "documents"), SPECIALS, PRETOKEN_PATTERN)
 
 
 _trained: dict[tuple[str, str], train.Training] = {}
@@ -80,7 +84,7 @@ def tokenizer(spark: SparkSession, folder: str) -> encode.Tokenizer:
 
 
 def encoded(spark: SparkSession, folder: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
-    return encode.encode_documents(table(spark, folder, name), tokenizer(spark, folder), keys=(key,))
+    return encode.encode_documents(texts(spark, folder, name), tokenizer(spark, folder), keys=(key,))
 
 
 def spaced(ids: Column) -> Column:
@@ -166,7 +170,7 @@ def split_special(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pretokenize(spark: SparkSession, folder: str) -> DataFrame:
-    return text.pretokenize(table(spark, folder, "documents"), SPECIALS)
+    return text.pretokenize(texts(spark, folder, "documents"), SPECIALS)
 
 
 def pretokenize_special(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,7 +183,7 @@ def count_pretokens(spark: SparkSession, folder: str) -> DataFrame:
 
 def merge_pretoken_counts(spark: SparkSession, folder: str) -> DataFrame:
     turns = counts.count_pretokens(marked_turns(spark, folder), SPECIALS)
-    items = counts.count_pretokens(table(spark, folder, "benchmark"), SPECIALS)
+    items = counts.count_pretokens(texts(spark, folder, "benchmark"), SPECIALS)
     return counts.merge_pretoken_counts(word_counts(spark, folder), turns, items)
 
 
@@ -286,12 +290,12 @@ def encode_special(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encode_lines(spark: SparkSession, folder: str) -> DataFrame:
-    ids = encode.encode_lines(table(spark, folder, "documents"), tokenizer(spark, folder))
+    ids = encode.encode_lines(texts(spark, folder, "documents"), tokenizer(spark, folder))
     return ids.select("doc_id", "line_no", spaced(F.col("ids")).alias("ids"))
 
 
 def encode_by_line(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents")
     ids = encode.encode_documents(docs, tokenizer(spark, folder), unit="line")
     return ids.select("doc_id", spaced(F.col("ids")).alias("ids"))
 
@@ -308,7 +312,7 @@ def encode_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def count_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents")
     ids = encode.encode_documents(docs, tokenizer(spark, folder), keys=("doc_id", "lang"))
     return encode.count_tokens(ids, ["lang"])
 
@@ -326,7 +330,7 @@ def roundtrip_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Texts of four tables that do not come back unchanged, counted."""
     tok = tokenizer(spark, folder)
     sources = [
-        table(spark, folder, name).select(F.lit(name).alias("source"), F.col(column).alias("text"))
+        texts(spark, folder, name).select(F.lit(name).alias("source"), F.col(column).alias("text"))
         for name, column in (
             ("documents", "text"),
             ("conversations", "text"),
@@ -498,8 +502,7 @@ def generate_batch(spark: SparkSession, folder: str) -> DataFrame:
     prompts = encoded(spark, folder, "benchmark", "item_id").withColumnRenamed("item_id", "prompt_id")
     sampler = generate.sampler_table(nexttoken.next_token_table(encoded(spark, folder)), TEMPERATURE, TOP_P)
     longer = generate.generate_batch(prompts, sampler, NEW_TOKENS, seed=SEED)
-    said = decode.decode(longer, tokenizer(spark, folder).vocab)
-    return said.select("prompt_id", "n_new", spaced(F.col("ids")).alias("ids"), "text")
+    return longer.select("prompt_id", "n_new", spaced(F.col("ids")).alias("ids"))
 
 
 QUERIES: dict[str, Query] = {

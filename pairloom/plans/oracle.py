@@ -232,6 +232,43 @@ def _step_loss(asked: str) -> str:
                LEFT JOIN (SELECT context, sum(cnt) AS total FROM steps GROUP BY 1) USING (context)"""
 
 
+def _generation() -> list[tuple[str, str]]:
+    """Continuations of the benchmark items, one CTE per new token."""
+    ctes = [
+        (
+            "chances",
+            f"""SELECT context, next, x / sum(x) OVER (PARTITION BY context) AS prob FROM (
+                  SELECT context, next, exp(logit - max(logit) OVER (PARTITION BY context)) AS x FROM (
+                    SELECT context, next, ln(cnt + 1.0) / ({c.TEMPERATURE} + 1e-8) AS logit FROM steps))""",
+        ),
+        (
+            "kept",
+            f"""SELECT *, sum(prob) OVER (PARTITION BY context) AS mass FROM (
+                  SELECT context, next, prob, coalesce(sum(prob) OVER (PARTITION BY context ORDER BY prob DESC, next
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM chances)
+                WHERE before <= {c.TOP_P}""",
+        ),
+        (
+            "g0",
+            """SELECT item_id AS prompt_id, list(token_id ORDER BY p) AS ids, 0 AS n_new, true AS live
+               FROM tokens_valid GROUP BY 1""",
+        ),
+    ]
+    for k in range(c.NEW_TOKENS):
+        draw = f"({_hashed('prompt_id', repr(str(k)))} % {1 << 52}) / {float(1 << 52)!r}"
+        ctes.append(
+            (
+                f"g{k + 1}",
+                f"""SELECT prompt_id, CASE WHEN go THEN list_append(ids, next) ELSE ids END AS ids,
+                           n_new + go::INTEGER AS n_new, go AS live FROM (
+                      SELECT g.*, d.next, coalesce(live AND d.next <> 256, false) AS go FROM g{k} g LEFT JOIN (
+                        SELECT prompt_id, arg_min(next, before) AS next FROM g{k} JOIN kept ON context = ids[-1]
+                        WHERE before + prob > {draw} * mass GROUP BY prompt_id) d USING (prompt_id))""",
+            )
+        )
+    return ctes
+
+
 def _reread() -> str:
     return "SELECT md5(text) AS text_md5, count(*) AS copies, max(length(text))::INTEGER AS n_chars FROM documents GROUP BY 1"
 
@@ -241,7 +278,6 @@ def build() -> dict[str, str]:
     train = _training()
     documents = [*train, _pieces("documents", "doc_id", _pretokens("text")), *_piece_ids()]
     doc_tokens = [*train, *_tokens("documents", "doc_id")]
-    item_tokens = _tokens("benchmark", "item_id")
     merges = _with(*train, final="SELECT rank, l, r FROM merges")
     line_cut = f"flatten(list_transform({_lines('text')}, lambda t: {_pretokens('t')}))"
     split_pieces = (
@@ -460,4 +496,11 @@ def build() -> dict[str, str]:
         ),
     }
     sql["softmax_array"] = sql["softmax"]
+    sql["generate_batch"] = _with(
+        *doc_tokens,
+        STEPS,
+        *_renamed(_tokens("benchmark", "item_id", "_valid"), "_valid"),
+        *_generation(),
+        final=f"SELECT prompt_id, n_new, array_to_string(ids, ' ') AS ids FROM g{c.NEW_TOKENS}",
+    )
     return sql
