@@ -44,6 +44,14 @@ def neighbours(seq: Column, width: int = 2) -> Column:
     return F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{width}}}))."), F.lit(1))
 
 
+def holds_any(seq: Column, pairs: Iterable[str]) -> Column:
+    """Whether the word holds one of the pairs, found in one pass over it."""
+    seconds: dict[str, str] = {}
+    for left, right in pairs:
+        seconds[left] = seconds.get(left, "") + rf"\x{{{ord(right):x}}}"
+    return seq.rlike("|".join(rf"\x{{{ord(left):x}}}[{rights}]" for left, rights in seconds.items()))
+
+
 class Alphabet:
     """Character <-> bytes table of packed sequences; at most one entry per symbol."""
 

@@ -87,6 +87,8 @@ def corpus_stats(words: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("distinct_pretokens"),
         F.coalesce(F.sum("cnt"), F.lit(0)).alias("pretokens"),
         F.coalesce(F.sum(F.col("cnt") * F.length("seq")), F.lit(0)).alias("bytes"),
-    ).select(F.lit(1).alias("one"), "*")
+        F.lit(0).cast("long").alias("distinct_pairs"),
+    )
     of_pairs = packed_pairs(words).agg(F.count(F.lit(1)).alias("distinct_pairs"))
-    return of_words.join(of_pairs.select(F.lit(1).alias("one"), "*"), "one").drop("one")
+    parts = of_words.unionByName(of_pairs, allowMissingColumns=True)
+    return parts.agg(*[F.sum(c).alias(c) for c in of_words.columns])

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.symbols import Alphabet, neighbours, string_array
+from pairloom.functions.symbols import Alphabet, holds_any, neighbours, string_array
 from pairloom.operators.counts import with_sides
 
 
@@ -36,7 +36,9 @@ def replace_all(seq: Column, merges: Sequence[PackedMerge]) -> Column:
 
     A few merges become nested ``replace`` calls in generated code.  A longer
     chain would generate methods too large to be compiled, so more merges run
-    as one ``aggregate`` over a folded array literal.
+    as one ``aggregate`` over a folded array literal, and only on words that
+    hold one of the pairs.  (Without any of them no merge happens, so no pair
+    of a later merge can come about.)
     """
     if len(merges) <= CHAINED:
         for merge in merges:
@@ -46,7 +48,8 @@ def replace_all(seq: Column, merges: Sequence[PackedMerge]) -> Column:
         string_array([m.pair for m in merges]).alias("pair"),
         string_array([m.result for m in merges]).alias("result"),
     )
-    return F.aggregate(steps, seq, lambda done, m: F.replace(done, m["pair"], m["result"]))
+    done = F.aggregate(steps, seq, lambda done, m: F.replace(done, m["pair"], m["result"]))
+    return F.when(holds_any(seq, [m.pair for m in merges]), done).otherwise(seq)
 
 
 def apply_merges(words: DataFrame, merges: Sequence[PackedMerge]) -> DataFrame:

@@ -27,7 +27,8 @@ def flatten_token_stream(
 ) -> DataFrame:
     """Blocks of the concatenated documents; ``order`` must be unique per row.
 
-    Only the sizes are sorted.  The ids move to their documents' positions and
+    Pass a written table: ``encoded`` is read for the sizes and again for the
+    ids.  Only the sizes are sorted.  The ids move to their documents' positions and
     then to their blocks, in parts no longer than a block, so no task gathers
     more than ``block_size`` ids for one row, whatever the documents' lengths.
     """

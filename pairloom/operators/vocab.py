@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VOCAB_SCHEMA = "token_id int, token binary, kind string"
@@ -45,29 +45,20 @@ def merges_table(spark: SparkSession, merges: Sequence[tuple[bytes, bytes]]) ->
 
 
 def with_special_tokens(vocab: DataFrame, special_tokens: Sequence[str]) -> DataFrame:
-    """Append the special tokens that the vocabulary lacks, from id ``count`` on.
-
-    The numbering window runs over the few missing special tokens alone.
-    """
+    """Append the special tokens that the vocabulary lacks, from id ``count`` on."""
     if not special_tokens:
         return vocab
     spark = vocab.sparkSession
-    unique = list(dict.fromkeys(special_tokens))
     wanted = spark.createDataFrame(
-        [(i, bytearray(t.encode())) for i, t in enumerate(unique)], "place int, token binary"
-    )
-    missing = wanted.join(vocab.select("token"), "token", "left_anti")
-    size = vocab.agg(F.count(F.lit(1)).alias("size"))
-    numbered = missing.select(
-        "token", (F.row_number().over(Window.orderBy("place")) - 1).alias("offset"), F.lit(1).alias("one")
-    ).join(size.withColumn("one", F.lit(1)), "one")
-    return vocab.select("token_id", "token", "kind").unionByName(
-        numbered.select(
-            (F.col("size") + F.col("offset")).cast("int").alias("token_id"),
-            "token",
-            F.lit("special").alias("kind"),
-        )
+        [(i, bytearray(t.encode())) for i, t in enumerate(dict.fromkeys(special_tokens))],
+        "place int, token binary",
     )
+    missing = wanted.join(vocab.select("token"), "token", "left_anti").orderBy("place").collect()
+    if not missing:
+        return vocab
+    size = vocab.count()
+    rows = [(size + i, r["token"], "special") for i, r in enumerate(missing)]
+    return vocab.select("token_id", "token", "kind").unionByName(spark.createDataFrame(rows, VOCAB_SCHEMA))
 
 
 def vocab_lookup(vocab: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pairloom.operators import (
     windows,
 )
 from pairloom.plans import generate, train
-from pairloom.session import scratch_path
+from pairloom.session import scratch_path, settle
 from pairloom.sources import artifacts, corpus, tables
 from pairloom.streaming import encode as streaming
 
@@ -87,6 +87,11 @@ def encoded(spark: SparkSession, folder: str, name: str = "documents", key: str
     return encode.encode_documents(texts(spark, folder, name), tokenizer(spark, folder), keys=(key,))
 
 
+def written(spark: SparkSession, folder: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
+    """The same, encoded once into a table that is then read as often as needed."""
+    return settle(encoded(spark, folder, name, key), "ids")[0]
+
+
 def spaced(ids: Column) -> Column:
     return F.array_join(ids, " ")
 
@@ -144,7 +149,7 @@ def merges_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _blocks(spark: SparkSession, folder: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
-    return stream.flatten_token_stream(encoded(spark, folder, name, key), (key,), BLOCK)
+    return stream.flatten_token_stream(written(spark, folder, name, key), (key,), BLOCK)
 
 
 def token_stream_file(spark: SparkSession, folder: str) -> DataFrame:
@@ -318,7 +323,7 @@ def count_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_positions(spark: SparkSession, folder: str) -> DataFrame:
-    return stream.document_positions(encoded(spark, folder))
+    return stream.document_positions(written(spark, folder))
 
 
 def decode_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -357,7 +362,7 @@ def _shown_windows(frame: DataFrame, key: str) -> DataFrame:
 
 def windows_at(spark: SparkSession, folder: str) -> DataFrame:
     """The window at the start of every document."""
-    ids = encoded(spark, folder)
+    ids = written(spark, folder)
     starts = stream.document_positions(ids).select("doc_id", "start_pos")
     blocks = stream.flatten_token_stream(ids, block_size=BLOCK)
     return _shown_windows(windows.windows_at(blocks, starts, CONTEXT, BLOCK, "doc_id"), "doc_id")
@@ -485,7 +490,7 @@ def next_token_table(spark: SparkSession, folder: str) -> DataFrame:
 def validate_held_out(spark: SparkSession, folder: str) -> DataFrame:
     """Loss over all benchmark items of the table counted on the documents."""
     items = encoded(spark, folder, "benchmark", "item_id")
-    result = nexttoken.validate_sequences(items, nexttoken.next_token_table(encoded(spark, folder)), VOCAB_SIZE)
+    result = nexttoken.validate_sequences(items, nexttoken.next_token_table(written(spark, folder)), VOCAB_SIZE)
     return result.withColumn("loss", F.round("loss", 6))
 
 
@@ -493,14 +498,14 @@ def validate_sampled(spark: SparkSession, folder: str) -> DataFrame:
     """The same on windows drawn from the benchmark stream."""
     valid = _blocks(spark, folder, "benchmark", "item_id")
     drawn = windows.sample_windows(valid, SAMPLES, CONTEXT, SEED, BLOCK)
-    result = nexttoken.validate_sampled(drawn, nexttoken.next_token_table(encoded(spark, folder)), VOCAB_SIZE)
+    result = nexttoken.validate_sampled(drawn, nexttoken.next_token_table(written(spark, folder)), VOCAB_SIZE)
     return result.withColumn("loss", F.round("loss", 6))
 
 
 def generate_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Continuations of all benchmark items."""
     prompts = encoded(spark, folder, "benchmark", "item_id").withColumnRenamed("item_id", "prompt_id")
-    sampler = generate.sampler_table(nexttoken.next_token_table(encoded(spark, folder)), TEMPERATURE, TOP_P)
+    sampler = generate.sampler_table(nexttoken.next_token_table(written(spark, folder)), TEMPERATURE, TOP_P)
     longer = generate.generate_batch(prompts, sampler, NEW_TOKENS, seed=SEED)
     return longer.select("prompt_id", "n_new", spaced(F.col("ids")).alias("ids"))
 

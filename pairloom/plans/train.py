@@ -29,7 +29,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.functions.symbols import Alphabet, neighbours, string_array
+from pairloom.functions.symbols import Alphabet, holds_any, neighbours, string_array
 from pairloom.operators.counts import packed_pairs, to_byte_symbols, with_sides
 from pairloom.operators.merges import PackedMerge, replace_all, signed_pairs
 from pairloom.operators.vocab import BYTE_TOKENS, merged_vocab, merges_table
@@ -102,7 +102,7 @@ def surroundings(words: DataFrame, candidates: Sequence[Candidate]) -> Surroundi
     wanted = string_array([c.pair for c in candidates])
     head, tail = F.substring("run", 1, 2), F.substring("run", 2, 2)
     runs = (
-        words.filter(F.exists(wanted, lambda p: F.contains(F.col("seq"), p)))
+        words.filter(holds_any(F.col("seq"), [c.pair for c in candidates]))
         .select(F.explode(neighbours(F.col("seq"), 3)).alias("run"), "cnt")
         .groupBy("run")
         .agg(F.sum("cnt").alias("cnt"))
