@@ -75,7 +75,7 @@ class MergeRanks:
 class PieceEncoder:
     """Ids of pre-tokens and special tokens, remembering what it has seen."""
 
-    REMEMBERED = 1_000_000  # only bounds memory; a forgotten piece is cut again
+    REMEMBERED = 250_000  # only bounds memory; a forgotten piece is cut again
 
     def __init__(
         self,

@@ -152,12 +152,18 @@ def _blocks(spark: SparkSession, folder: str, name: str = "documents", key: str
     return stream.flatten_token_stream(written(spark, folder, name, key), (key,), BLOCK)
 
 
+def _shown_blocks(blocks: DataFrame) -> DataFrame:
+    return blocks.select("block_id", "start_pos", "n_ids", F.md5(spaced(F.col("ids"))).alias("ids_md5"))
+
+
+def flatten_token_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown_blocks(_blocks(spark, folder))
+
+
 def token_stream_file(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "stream")
     artifacts.write_token_stream(_blocks(spark, folder), path, max_id=VOCAB_SIZE - 1)
-    return artifacts.read_token_stream(spark, path).select(
-        "block_id", "start_pos", "n_ids", F.md5(spaced(F.col("ids"))).alias("ids_md5")
-    )
+    return _shown_blocks(artifacts.read_token_stream(spark, path))
 
 
 def resume_training(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,6 +214,19 @@ def _words(spark: SparkSession, folder: str) -> DataFrame:
     return counts.to_byte_symbols(word_counts(spark, folder))
 
 
+def base_vocab(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and special tokens, with how often each byte occurs in the documents."""
+    used = (
+        _words(spark, folder)
+        .select(F.explode(F.split("seq", "")).alias("symbol"), "cnt")
+        .groupBy("symbol")
+        .agg(F.sum("cnt").alias("occurrences"))
+        .select(Alphabet().hex_of(F.col("symbol")).alias("token"), "occurrences")
+    )
+    base = vocab.base_vocab(spark, SPECIALS).select("token_id", F.hex("token").alias("token"), "kind")
+    return base.join(used, "token", "left").withColumn("occurrences", F.coalesce("occurrences", F.lit(0)))
+
+
 def trained_vocab(spark: SparkSession, folder: str) -> DataFrame:
     return training(spark, folder).vocab().select("token_id", F.hex("token").alias("token"), "kind")
 
@@ -527,6 +546,7 @@ QUERIES: dict[str, Query] = {
         merge_pretoken_counts,
         to_byte_symbols,
         corpus_stats,
+        base_vocab,
         trained_vocab,
         count_pairs,
         pair_index,
@@ -546,6 +566,7 @@ QUERIES: dict[str, Query] = {
         encode_stream,
         count_tokens,
         document_positions,
+        flatten_token_stream,
         decode_documents,
         roundtrip_audit,
         windows_at,

@@ -347,6 +347,15 @@ def build() -> dict[str, str]:
                              sum(cnt * strlen(pretoken))::BIGINT AS bytes,
                              (SELECT count(*) FROM (SELECT DISTINCT l, r FROM ({_pairs('w')}))) AS distinct_pairs FROM w""",
         ),
+        "base_vocab": _with(
+            *train[:2],
+            final=f"""SELECT token_id, token, kind, coalesce(occurrences, 0)::BIGINT AS occurrences
+                      FROM (SELECT i::INTEGER AS token_id, format('{{:02X}}', i) AS token, 'byte' AS kind
+                            FROM (SELECT unnest(range(256)) AS i)
+                            UNION ALL SELECT 256, hex(encode('{END}')), 'special')
+                      LEFT JOIN (SELECT token, sum(cnt) AS occurrences
+                                 FROM (SELECT unnest({_symbols('seq')}) AS token, cnt FROM w) GROUP BY 1) USING (token)""",
+        ),
         "trained_vocab": _with(*train, final="SELECT token_id, token, kind FROM vocab"),
         "count_pairs": _with(
             *train[:2], final=f"SELECT l, r, sum(cnt)::BIGINT AS cnt FROM ({_pairs('w')}) GROUP BY l, r"
@@ -496,6 +505,7 @@ def build() -> dict[str, str]:
         ),
     }
     sql["softmax_array"] = sql["softmax"]
+    sql["flatten_token_stream"] = sql["token_stream_file"]
     sql["generate_batch"] = _with(
         *doc_tokens,
         STEPS,

@@ -221,7 +221,9 @@ class _Tables:
         self._count_pairs()
 
     def _write_words(self, words: DataFrame) -> None:
-        live = words.filter(F.length("seq") > 1).select("seq", "cnt")
+        """Words are spread evenly, as every round's tasks work on these partitions."""
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        live = words.filter(F.length("seq") > 1).select("seq", "cnt").repartition(parts, "seq")
         table, self._words_path = settle(live, "words")
         self.words = table.select(F.col("seq").alias("old_seq"), "seq", "cnt").persist()
         self.age = 0

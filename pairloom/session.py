@@ -15,6 +15,7 @@ def local_session(cores: int = 8, app: str = "pairloom", **conf: str) -> SparkSe
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(cores),
         "spark.sql.adaptive.enabled": "true",

@@ -5,7 +5,6 @@ Usage: python tests/compare.py FOLDER [QUERY ...]
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from collections import Counter
@@ -25,9 +24,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 5) + 0.0
-    return value
+    """Floats by their exact digits, so that -0.0 and 0.0 differ too."""
+    return repr(value) if isinstance(value, float) else value
 
 
 def rows_of(columns, rows) -> Counter:
@@ -35,9 +33,8 @@ def rows_of(columns, rows) -> Counter:
     return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
-def difference(spark, con, query, sql: str, folder: str) -> str | None:
-    """What differs, or None."""
-    frame = query(spark, folder)
+def difference(frame, con, sql: str) -> str | None:
+    """What differs between a query's result and its SQL, or None."""
     ours = frame.collect()
     theirs = con.execute(sql)
     names = [d[0] for d in theirs.description]
@@ -72,7 +69,7 @@ def main() -> None:
             print(f"{name:24s} rows {query(spark, folder).count()} in {time.time() - began:.1f}s", flush=True)
             continue
         try:
-            found = difference(spark, con, query, sqls[name], folder)
+            found = difference(query(spark, folder), con, sqls[name])
         except Exception as error:  # noqa: BLE001
             found = f"{type(error).__name__}: {str(error)[:600]}"
         print(f"{name:24s} {'ok' if found is None else 'DIFFERS ' + str(found)[:900]} {time.time() - began:.1f}s", flush=True)

@@ -5,19 +5,10 @@ import pytest
 
 from conftest import SMALL
 
-PAIRED = ("CartesianProduct", "BroadcastNestedLoopJoin")
-
-
 def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_query_pairs_everything_with_everything(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SMALL))
-    assert not any(p in plan for p in PAIRED)
-
-
 @pytest.mark.parametrize(
     ("name", "columns"),
     [("count_pretokens", "text:string"), ("encode_documents", "doc_id:bigint,text:string"), ("count_tokens", "lang:string")],
