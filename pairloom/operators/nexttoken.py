@@ -2,28 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def context_steps(ids: Column, width: int) -> Column:
-    """``array<struct<context, next>>`` of an id array."""
+def count_steps(sequences: DataFrame, width: int = 1, ids_col: str = "ids") -> DataFrame:
+    """``(context, next, cnt)`` over all sequences; ``context`` has ``width`` ids.
+
+    Shifted slices of the ids are zipped, and plain INT columns are counted
+    inside each task before the shuffle.
+    """
     if width < 1:
         raise ValueError("the context needs at least one token")
-    steps = F.transform(
-        F.sequence(F.lit(1), F.size(ids) - width),
-        lambda i: F.struct(F.slice(ids, i, width).alias("context"), F.get(ids, i + (width - 1)).alias("next")),
-    )
-    return F.when(F.size(ids) > width, steps)
-
-
-def count_steps(sequences: DataFrame, width: int = 1, ids_col: str = "ids") -> DataFrame:
-    """``(context, next, cnt)`` over all sequences, added up before the shuffle."""
-    return (
-        sequences.select(F.explode(context_steps(F.col(ids_col), width)).alias("s"))
-        .groupBy(F.col("s.context").alias("context"), F.col("s.next").alias("next"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+    n = F.greatest(F.size(ids_col) - width, F.lit(0))
+    names = [f"t{i}" for i in range(width + 1)]
+    steps = F.arrays_zip(*[F.slice(ids_col, F.lit(i + 1), n).alias(name) for i, name in enumerate(names)])
+    counted = sequences.select(F.inline(steps)).groupBy(*names).agg(F.count(F.lit(1)).alias("cnt"))
+    return counted.select(F.array(*names[:-1]).alias("context"), F.col(names[-1]).alias("next"), "cnt")
 
 
 def next_token_table(

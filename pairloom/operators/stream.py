@@ -35,8 +35,8 @@ def flatten_token_stream(
     at = document_positions(encoded, order).filter(F.col("n_ids") > 0)
     placed = encoded.select(*order, "ids").join(at, list(order))
     size = F.lit(block_size)
-    first = F.floor(F.col("start_pos") / size).cast("long")
-    last = F.floor((F.col("start_pos") + F.col("n_ids") - 1) / size).cast("long")
+    first = F.expr(f"start_pos div {block_size}")
+    last = F.expr(f"(start_pos + n_ids - 1) div {block_size}")
 
     def part(block: Column) -> Column:
         begin = F.greatest(block * size, F.col("start_pos"))

@@ -24,17 +24,11 @@ def windows_at(
     """
     if context_length < 1:
         raise ValueError("context_length must be at least 1")
-    size, need = F.lit(block_size), context_length + 1
-    wanted = starts.select(
-        F.col(key),
-        F.col("start_pos").alias("begin"),
-        F.explode(
-            F.sequence(
-                F.floor(F.col("start_pos") / size).cast("long"),
-                F.floor((F.col("start_pos") + context_length) / size).cast("long"),
-            )
-        ).alias("block_id"),
+    need = context_length + 1
+    touched = F.sequence(
+        F.expr(f"start_pos div {block_size}"), F.expr(f"(start_pos + {context_length}) div {block_size}")
     )
+    wanted = starts.select(F.col(key), F.col("start_pos").alias("begin"), F.explode(touched).alias("block_id"))
     found = wanted.join(blocks.select("block_id", F.col("start_pos").alias("at"), "ids"), "block_id")
     skipped = F.greatest(F.col("begin") - F.col("at"), F.lit(0))
     wished = F.col("begin") + need - F.col("at") - skipped

@@ -149,6 +149,7 @@ def merges_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _blocks(spark: SparkSession, folder: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
+    """The token stream of a table, not yet written."""
     return stream.flatten_token_stream(written(spark, folder, name, key), (key,), BLOCK)
 
 
@@ -388,7 +389,8 @@ def windows_at(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sample_windows(spark: SparkSession, folder: str) -> DataFrame:
-    drawn = windows.sample_windows(_blocks(spark, folder), SAMPLES, CONTEXT, SEED, BLOCK)
+    blocks, _ = settle(_blocks(spark, folder), "blocks")
+    drawn = windows.sample_windows(blocks, SAMPLES, CONTEXT, SEED, BLOCK)
     return _shown_windows(drawn, "sample_id")
 
 
@@ -499,6 +501,11 @@ def rms_normalize(spark: SparkSession, folder: str) -> DataFrame:
 # --- next tokens ------------------------------------------------------------------
 
 
+def _steps(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' next-token table, written."""
+    return settle(nexttoken.next_token_table(encoded(spark, folder)), "steps")[0]
+
+
 def next_token_table(spark: SparkSession, folder: str) -> DataFrame:
     found = nexttoken.next_token_table(encoded(spark, folder))
     return found.select(
@@ -509,22 +516,22 @@ def next_token_table(spark: SparkSession, folder: str) -> DataFrame:
 def validate_held_out(spark: SparkSession, folder: str) -> DataFrame:
     """Loss over all benchmark items of the table counted on the documents."""
     items = encoded(spark, folder, "benchmark", "item_id")
-    result = nexttoken.validate_sequences(items, nexttoken.next_token_table(written(spark, folder)), VOCAB_SIZE)
+    result = nexttoken.validate_sequences(items, _steps(spark, folder), VOCAB_SIZE)
     return result.withColumn("loss", F.round("loss", 6))
 
 
 def validate_sampled(spark: SparkSession, folder: str) -> DataFrame:
     """The same on windows drawn from the benchmark stream."""
-    valid = _blocks(spark, folder, "benchmark", "item_id")
+    valid, _ = settle(_blocks(spark, folder, "benchmark", "item_id"), "blocks")
     drawn = windows.sample_windows(valid, SAMPLES, CONTEXT, SEED, BLOCK)
-    result = nexttoken.validate_sampled(drawn, nexttoken.next_token_table(written(spark, folder)), VOCAB_SIZE)
+    result = nexttoken.validate_sampled(drawn, _steps(spark, folder), VOCAB_SIZE)
     return result.withColumn("loss", F.round("loss", 6))
 
 
 def generate_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Continuations of all benchmark items."""
     prompts = encoded(spark, folder, "benchmark", "item_id").withColumnRenamed("item_id", "prompt_id")
-    sampler = generate.sampler_table(nexttoken.next_token_table(written(spark, folder)), TEMPERATURE, TOP_P)
+    sampler = generate.sampler_table(_steps(spark, folder), TEMPERATURE, TOP_P)
     longer = generate.generate_batch(prompts, sampler, NEW_TOKENS, seed=SEED)
     return longer.select("prompt_id", "n_new", spaced(F.col("ids")).alias("ids"))
 
