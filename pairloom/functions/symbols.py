@@ -45,11 +45,16 @@ def neighbours(seq: Column, width: int = 2) -> Column:
 
 
 def holds_any(seq: Column, pairs: Iterable[str]) -> Column:
-    """Whether the word holds one of the pairs, found in one pass over it."""
+    """Whether the word holds one of the pairs, found in one pass over it.
+
+    ``regexp_instr`` keeps the pattern out of the generated code (``rlike``
+    writes it in), so that rounds with other pairs reuse the compiled classes.
+    """
     seconds: dict[str, str] = {}
     for left, right in pairs:
         seconds[left] = seconds.get(left, "") + rf"\x{{{ord(right):x}}}"
-    return seq.rlike("|".join(rf"\x{{{ord(left):x}}}[{rights}]" for left, rights in seconds.items()))
+    pattern = "|".join(rf"\x{{{ord(left):x}}}[{rights}]" for left, rights in seconds.items())
+    return F.regexp_instr(seq, F.lit(pattern)) > 0
 
 
 class Alphabet:

@@ -28,21 +28,15 @@ def pack_merges(merges: Iterable[tuple[bytes, bytes]], alphabet: Alphabet) -> li
     ]
 
 
-CHAINED = 8  # as many nested calls still fit one compiled method
-
-
 def replace_all(seq: Column, merges: Sequence[PackedMerge]) -> Column:
     """The sequence after all merges, applied in order.
 
-    A few merges become nested ``replace`` calls in generated code.  A longer
-    chain would generate methods too large to be compiled, so more merges run
-    as one ``aggregate`` over a folded array literal, and only on words that
-    hold one of the pairs.  (Without any of them no merge happens, so no pair
-    of a later merge can come about.)
+    One ``aggregate`` over a folded array literal: nested ``replace`` calls
+    would be compiled anew for every number of merges, and many of them
+    would make methods too large to be compiled at all.  Words that hold none
+    of the pairs are left alone, as no later merge can come about in them.
     """
-    if len(merges) <= CHAINED:
-        for merge in merges:
-            seq = F.replace(seq, F.lit(merge.pair), F.lit(merge.result))
+    if not merges:
         return seq
     steps = F.arrays_zip(
         string_array([m.pair for m in merges]).alias("pair"),
