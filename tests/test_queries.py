@@ -5,6 +5,7 @@ import compare
 import pytest
 
 from conftest import SMALL
+from pairloom.plans import catalog
 
 SQL = entry.oracle_sql()
 
@@ -14,7 +15,7 @@ def duck():
     return compare.connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     frame = entry.queries()[name](spark, SMALL)
     plan = frame._jdf.queryExecution().executedPlan().toString()
