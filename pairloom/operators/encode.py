@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +52,20 @@ class Tokenizer:
             raise ValueError("token ids must fit a non-negative INT")
         return ids
 
+    def id_of(self, token: str) -> int:
+        """The id of a special token."""
+        found = self.vocab.filter(F.col("token") == F.encode(F.lit(token), "UTF-8")).agg(F.max("token_id")).first()[0]
+        if token not in self.special_tokens or found is None:
+            raise ValueError(f"{token!r} is not a special token of this tokenizer")
+        return found
+
+    @classmethod
+    def from_files(cls, spark: SparkSession, vocab_path: str, merges_path: str, special_tokens: Sequence[str] = ()) -> Tokenizer:
+        """From vocabulary and merge files."""
+        from pairloom.sources import artifacts
+
+        return cls(artifacts.read_vocab(spark, vocab_path), artifacts.read_merges(spark, merges_path), tuple(special_tokens))
+
     def shipped(self) -> Broadcast:
         """What an encoding task needs, as a broadcast of bounded size."""
         context = self.vocab.sparkSession.sparkContext
@@ -91,9 +105,9 @@ def encode_pieces(frame: DataFrame, tokenizer: Tokenizer, pieces_col: str, out_c
 
 
 def encode_pretokens(counts: DataFrame, tokenizer: Tokenizer, pretoken_col: str = "pretoken") -> DataFrame:
-    """Ids of distinct pre-tokens; other columns stay."""
+    """Ids of distinct pre-tokens; other columns stay.  A null pre-token has no ids."""
     kept = [c for c in counts.columns if c != pretoken_col]
-    frame = counts.select(*kept, pretoken_col, F.array(pretoken_col).alias("pieces"))
+    frame = counts.select(*kept, pretoken_col, F.array_compact(F.array(pretoken_col)).alias("pieces"))
     return encode_pieces(frame, tokenizer, "pieces")
 
 
@@ -103,15 +117,21 @@ def encode_documents(
     text_col: str = "text",
     keys: Sequence[str] = ("doc_id",),
     unit: str = "document",
+    end_token: str | None = None,
 ) -> DataFrame:
     """``(keys..., ids)``.
 
     ``unit='line'`` cuts each line on its own, as when a file is read line by
-    line.  Null or empty text gives an empty array.
+    line.  Null or empty text gives an empty array.  ``end_token``, one of the
+    special tokens, puts its id behind every document, as the delimiter stands
+    in a file that ends in one.
     """
     cut = {"document": patterns.pieces, "line": patterns.line_pieces}[unit]
     pieces = cut(F.col(text_col), tokenizer.special_tokens, tokenizer.pattern)
-    return encode_pieces(docs.select(*keys, pieces.alias("pieces")), tokenizer, "pieces")
+    found = encode_pieces(docs.select(*keys, pieces.alias("pieces")), tokenizer, "pieces")
+    if end_token is None:
+        return found
+    return found.withColumn("ids", F.concat("ids", F.array(F.lit(tokenizer.id_of(end_token)).cast("int"))))
 
 
 def encode_lines(

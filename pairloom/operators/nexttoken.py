@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def count_steps(sequences: DataFrame, width: int = 1, ids_col: str = "ids") -> DataFrame:
-    """``(context, next, cnt)`` over all sequences; ``context`` has ``width`` ids.
+def count_steps(sequences: DataFrame, width: int = 1, ids_col: str = "ids", keys: Sequence[str] = ()) -> DataFrame:
+    """``(keys..., context, next, cnt)`` over all sequences; ``context`` has ``width`` ids.
 
     Shifted slices of the ids are zipped, and plain INT columns are counted
     inside each task before the shuffle.
@@ -17,8 +19,8 @@ def count_steps(sequences: DataFrame, width: int = 1, ids_col: str = "ids") -> D
     n = F.greatest(F.size(ids_col) - width, F.lit(0))
     names = [f"t{i}" for i in range(width + 1)]
     steps = F.arrays_zip(*[F.slice(ids_col, F.lit(i + 1), n).alias(name) for i, name in enumerate(names)])
-    counted = sequences.select(F.inline(steps)).groupBy(*names).agg(F.count(F.lit(1)).alias("cnt"))
-    return counted.select(F.array(*names[:-1]).alias("context"), F.col(names[-1]).alias("next"), "cnt")
+    counted = sequences.select(*keys, F.inline(steps)).groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("cnt"))
+    return counted.select(*keys, F.array(*names[:-1]).alias("context"), F.col(names[-1]).alias("next"), "cnt")
 
 
 def next_token_table(
@@ -73,6 +75,30 @@ def validate_sequences(
     return held_out_loss(step_losses(steps, table, vocab_size, smoothing))
 
 
+def score_documents(
+    sequences: DataFrame,
+    table: DataFrame,
+    vocab_size: int,
+    width: int = 1,
+    smoothing: float = 1.0,
+    keys: Sequence[str] = ("doc_id",),
+    ids_col: str = "ids",
+) -> DataFrame:
+    """``(keys..., n_tokens, loss, perplexity)``: mean loss over each sequence's predicted tokens.
+
+    The losses are worked out once per distinct step of all sequences.  A
+    sequence too short to predict anything has 0 tokens and null loss.
+    """
+    own = count_steps(sequences, width, ids_col, keys)
+    distinct = own.groupBy("context", "next").agg(F.sum("cnt").alias("cnt"))
+    losses = step_losses(distinct, table, vocab_size, smoothing).select("context", "next", "loss")
+    scored = own.join(losses, ["context", "next"]).groupBy(*keys).agg(
+        F.sum("cnt").alias("n"), (F.sum(F.col("cnt") * F.col("loss")) / F.sum("cnt")).alias("loss")
+    )
+    every = sequences.select(*keys).distinct().join(scored, list(keys), "left")
+    return every.select(*keys, F.coalesce("n", F.lit(0)).alias("n_tokens"), "loss", F.exp("loss").alias("perplexity"))
+
+
 def validate_sampled(
     windows: DataFrame, table: DataFrame, vocab_size: int, width: int = 1, smoothing: float = 1.0
 ) -> DataFrame:

@@ -20,6 +20,17 @@ TEMPERATURE_EPS = 1e-8
 RMS_EPS = 1e-5
 # ----------------------------------------------------------------------------
 
+UNITS = 1e12  # probabilities are added up in whole numbers of this share, so that decimal ties are exact
+
+
+def _units(prob: Column) -> Column:
+    return F.round(prob * UNITS).cast("long")
+
+
+def _limit(p: float) -> int:
+    return round(p * UNITS)
+
+
 _STRIPE = 256.0  # width of a logit stripe: sums of exp stay far inside a double
 
 
@@ -49,9 +60,10 @@ def softmax_array(values: Column) -> Column:
 
 
 def cross_entropy_array(values: Column, target: Column) -> Column:
-    """Loss of one row: log-sum-exp minus the target's logit, in nats."""
+    """Loss of one row: log-sum-exp minus the target's logit, in nats.  A target without a logit raises."""
     doubled = values.cast("array<double>")
-    return array_log_sum_exp(doubled) - F.get(doubled, target)
+    missing = F.raise_error(F.lit("target without a logit")).cast("double")
+    return F.coalesce(array_log_sum_exp(doubled) - F.get(doubled, target), F.when(values.isNotNull() & target.isNotNull(), missing))
 
 
 def log_sum_exp(logits: DataFrame, row: Sequence[str] = ("row_id",)) -> DataFrame:
@@ -83,14 +95,19 @@ def softmax(logits: DataFrame, row: Sequence[str] = ("row_id",)) -> DataFrame:
 def cross_entropy(
     logits: DataFrame, targets: DataFrame, row: Sequence[str] = ("row_id",)
 ) -> DataFrame:
-    """``(row..., loss)`` from long-form logits and ``targets (row..., target)``."""
+    """``(row..., loss)`` from long-form logits and ``targets (row..., target)``.
+
+    One row per target.  A target whose row has no such class, or no logits at
+    all, raises; a null target has a null loss.
+    """
     picked = targets.join(
         logits.select(*row, F.col("class_id").alias("target"), F.col("logit").alias("picked")),
         [*row, "target"],
+        "left",
     )
-    return picked.join(log_sum_exp(logits, row), list(row)).select(
-        *row, (F.col("lse") - F.col("picked")).alias("loss")
-    )
+    missing = F.raise_error(F.lit("target without a logit")).cast("double")
+    loss = F.coalesce(F.col("lse") - F.col("picked"), F.when(F.col("target").isNotNull(), missing))
+    return picked.join(log_sum_exp(logits, row), list(row), "left").select(*row, loss.alias("loss"))
 
 
 def mean_loss(losses: DataFrame) -> DataFrame:
@@ -103,13 +120,46 @@ def top_p_filter(probs: DataFrame, p: float, row: Sequence[str] = ("row_id",)) -
     A class stays while the probabilities sorted before it sum to at most ``p``,
     so the class that crosses ``p`` and the first class always stay.  Equal
     probabilities are ordered by class.  ``before`` is that earlier sum and
-    ``mass`` the probability of the nucleus.
+    ``mass`` the probability of the nucleus.  Probabilities are added up in whole
+    units of 10^-12, so the result does not depend on how rows are partitioned.
     """
-    narrow = probs.select(*row, "class_id", "prob")
-    order = [F.desc("prob"), F.asc("class_id")]
-    kept = running_total(narrow, "prob", order, row, "before").filter(F.col("before") <= p)
-    mass = kept.groupBy(*row).agg(F.sum("prob").alias("mass"))
-    return kept.join(mass, list(row)).withColumn("nucleus_prob", F.col("prob") / F.col("mass"))
+    narrow = probs.select(*row, "class_id", "prob", _units(F.col("prob")).alias("units"))
+    order = [F.desc("units"), F.asc("class_id")]
+    kept = running_total(narrow, "units", order, row, "before").filter(F.col("before") <= _limit(p))
+    mass = kept.groupBy(*row).agg(F.sum("units").alias("mass"))
+    shares = kept.join(mass, list(row)).withColumn("nucleus_prob", F.col("units") / F.col("mass"))
+    return shares.select(*row, "class_id", "prob", *((F.col(c) / UNITS).alias(c) for c in ("before", "mass")), "nucleus_prob")
+
+
+def top_p_array(probs: Column, p: float) -> Column:
+    """The same within a row: ``array<struct<class_id, prob, before, passes, mass, nucleus_prob>>`` in nucleus order, without a shuffle."""
+    sized = F.transform(probs, lambda x, i: F.struct((-_units(x)).alias("less"), i.alias("class_id"), x.alias("prob")))
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<struct<class_id:int,prob:double,units:long,before:long>>").alias("kept"))
+
+    def step(state: Column, x: Column) -> Column:
+        entry = F.struct(x["class_id"].alias("class_id"), x["prob"].alias("prob"), (-x["less"]).alias("units"), state["sum"].alias("before"))
+        kept = F.when(state["sum"] <= _limit(p), F.concat(state["kept"], F.array(entry))).otherwise(state["kept"])
+        return F.struct((state["sum"] - x["less"]).alias("sum"), kept.alias("kept"))
+
+    kept = F.aggregate(F.array_sort(sized), start, step, lambda s: s["kept"])
+    mass = F.aggregate(kept, F.lit(0).cast("long"), lambda s, k: s + k["units"])
+    return bind(
+        F.struct(kept.alias("k"), mass.alias("m")),
+        lambda b: F.transform(
+            b["k"],
+            lambda k: F.struct(
+                k["class_id"].alias("class_id"), k["prob"].alias("prob"), (k["before"] / UNITS).alias("before"),
+                ((k["before"] + k["units"]) / UNITS).alias("passes"), (b["m"] / UNITS).alias("mass"), (k["units"] / b["m"]).alias("nucleus_prob"),
+            ),
+        ),
+    )
+
+
+def top_p_sample_array(nucleus: Column, seed: int, *row: Column) -> Column:
+    """One seeded class from a row's nucleus of ``top_p_array``; the same draw as ``top_p_sample``."""
+    draw = hashed_unit(seed, *row)
+    passed = F.filter(nucleus, lambda k: k["passes"] > draw * k["mass"])
+    return F.coalesce(F.get(passed, F.lit(0)), F.element_at(nucleus, -1))["class_id"]
 
 
 def top_p_sample(nucleus: DataFrame, seed: int, row: Sequence[str] = ("row_id",)) -> DataFrame:
@@ -119,7 +169,7 @@ def top_p_sample(nucleus: DataFrame, seed: int, row: Sequence[str] = ("row_id",)
     draw stays below the mass, and rounding at the far end goes to the last class.
     """
     draw = hashed_unit(seed, *[F.col(r) for r in row]) * F.col("mass")
-    passed = F.col("before") + F.col("prob") > draw
+    passed = F.col("before") + F.col("nucleus_prob") * F.col("mass") > draw
     return nucleus.groupBy(*row).agg(
         F.coalesce(
             F.min_by("class_id", F.when(passed, F.struct("before", "class_id"))),
@@ -128,14 +178,28 @@ def top_p_sample(nucleus: DataFrame, seed: int, row: Sequence[str] = ("row_id",)
     )
 
 
-def embedding_lookup(tokens: DataFrame, vectors: DataFrame, token_col: str = "token_id") -> DataFrame:
-    """Attach ``vectors (token_id, embedding)`` to token rows.
+MOST_BROADCAST = 256 << 20  # bytes of a vector table that goes to every task
+
+
+def embedding_lookup(
+    tokens: DataFrame, vectors: DataFrame, token_col: str = "token_id", on_unknown: str = "error", most_broadcast: int = MOST_BROADCAST
+) -> DataFrame:
+    """Attach ``vectors (token_id, embedding)`` to token rows; every token row stays.
 
-    Spark broadcasts the vectors if their size is below its threshold, and
-    otherwise splits frequent tokens of the shuffled join.
+    An id without a vector raises, or with ``on_unknown='null'`` has a null
+    embedding.  Vectors of up to ``most_broadcast`` bytes, by their counted
+    size, are broadcast; a larger table is joined by shuffle, where Spark splits
+    frequent tokens.
     """
-    table = vectors.select(F.col("token_id").alias(token_col), "embedding")
-    return tokens.join(table, token_col)
+    if on_unknown not in ("error", "null"):
+        raise ValueError("on_unknown must be 'error' or 'null'")
+    table = vectors.select(F.col("token_id").alias(token_col), "embedding", F.lit(True).alias("_known"))
+    entries = table.agg(F.coalesce(F.sum(F.size("embedding").cast("long") + 4), F.lit(0))).first()[0]
+    found = tokens.join(F.broadcast(table) if 8 * entries <= most_broadcast else table, token_col, "left")
+    if on_unknown == "error":
+        unknown = F.raise_error(F.lit("id without a vector")).cast(vectors.schema["embedding"].dataType)
+        found = found.withColumn("embedding", F.when(F.col("_known"), F.col("embedding")).otherwise(unknown))
+    return found.drop("_known")
 
 
 def rms_normalize(vector: Column, weight: Column | None = None, eps: float = RMS_EPS) -> Column:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pairloom.operators.running import running_total
 
 BLOCK_SIZE = 4096
+BUCKET = "bucket"  # partition column of a written stream
+BUCKET_BLOCKS = 4096  # blocks in one
 
 
 def document_positions(encoded: DataFrame, order: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.draws import hashed_long
-from pairloom.operators.stream import BLOCK_SIZE, stream_length
+from pairloom.operators.stream import BLOCK_SIZE, BUCKET, BUCKET_BLOCKS, stream_length
+
+MOST_BUCKETS = 10_000  # buckets that are named in a filter; beyond it the whole stream is read
 
 
 def windows_at(
@@ -15,20 +17,30 @@ def windows_at(
     context_length: int,
     block_size: int = BLOCK_SIZE,
     key: str = "sample_id",
+    on_short: str = "error",
 ) -> DataFrame:
     """``(key, start_pos, x, y)`` for ``starts (key, start_pos)``; y is x shifted by one.
 
     Each start names the blocks it touches and joins them on equality.  Only
     the part of a block that lies in the window goes on to be put together.
-    Windows that reach past the end of the stream are left out.
+    Every start gives a row.  A window that reaches outside the stream raises, or
+    with ``on_short='null'`` has null x and y.  ``key`` tells the starts apart.
+    From a stream with buckets, as ``write_token_stream`` makes it, only the
+    buckets that are touched are read, as long as they are few.
     """
     if context_length < 1:
         raise ValueError("context_length must be at least 1")
+    if on_short not in ("error", "null"):
+        raise ValueError("on_short must be 'error' or 'null'")
     need = context_length + 1
     touched = F.sequence(
         F.expr(f"start_pos div {block_size}"), F.expr(f"(start_pos + {context_length}) div {block_size}")
     )
     wanted = starts.select(F.col(key), F.col("start_pos").alias("begin"), F.explode(touched).alias("block_id"))
+    if BUCKET in blocks.columns:
+        rows = wanted.select(F.expr(f"block_id div {BUCKET_BLOCKS}").alias("b")).distinct().limit(MOST_BUCKETS + 1).collect()
+        if len(rows) <= MOST_BUCKETS:
+            blocks = blocks.filter(F.col(BUCKET).isin([r["b"] for r in rows]))
     found = wanted.join(blocks.select("block_id", F.col("start_pos").alias("at"), "ids"), "block_id")
     skipped = F.greatest(F.col("begin") - F.col("at"), F.lit(0))
     wished = F.col("begin") + need - F.col("at") - skipped
@@ -40,9 +52,13 @@ def windows_at(
         .select(key, "begin", F.flatten(F.transform("parts", lambda p: p["part"])).alias("ids"))
         .filter((F.size("ids") == need) & (F.col("begin") >= 0))
     )
-    return joined.select(
+    every = starts.select(key, "start_pos").join(joined.select(key, F.col("begin").alias("start_pos"), "ids"), [key, "start_pos"], "left")
+    if on_short == "error":
+        short = F.raise_error(F.lit("a window reaches outside the stream")).cast("array<int>")
+        every = every.withColumn("ids", F.coalesce("ids", short))
+    return every.select(
         key,
-        F.col("begin").alias("start_pos"),
+        "start_pos",
         F.slice("ids", 1, context_length).alias("x"),
         F.slice("ids", 2, context_length).alias("y"),
     )

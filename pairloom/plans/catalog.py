@@ -309,6 +309,22 @@ def encode_documents(spark: SparkSession, folder: str) -> DataFrame:
     return encoded(spark, folder).select("doc_id", spaced(F.col("ids")).alias("ids"))
 
 
+def _ended(spark: SparkSession, folder: str) -> DataFrame:
+    docs = texts(spark, folder, "documents")
+    return encode.encode_documents(docs, tokenizer(spark, folder), end_token=END_OF_TEXT)
+
+
+def encode_with_end(spark: SparkSession, folder: str) -> DataFrame:
+    return _ended(spark, folder).select("doc_id", spaced(F.col("ids")).alias("ids"))
+
+
+def flatten_with_end(spark: SparkSession, folder: str) -> DataFrame:
+    """The token stream with an end of text behind every document."""
+    ids, _ = settle(_ended(spark, folder), "ids")
+    blocks = stream.flatten_token_stream(ids, block_size=BLOCK)
+    return blocks.select("block_id", "start_pos", "n_ids", spaced(F.col("ids")).alias("ids"))
+
+
 def encode_special(spark: SparkSession, folder: str) -> DataFrame:
     ids = encode.encode_documents(marked_turns(spark, folder), tokenizer(spark, folder), keys=TURN)
     return ids.select(*TURN, spaced(F.col("ids")).alias("ids"))
@@ -385,7 +401,8 @@ def windows_at(spark: SparkSession, folder: str) -> DataFrame:
     ids = written(spark, folder)
     starts = stream.document_positions(ids).select("doc_id", "start_pos")
     blocks = stream.flatten_token_stream(ids, block_size=BLOCK)
-    return _shown_windows(windows.windows_at(blocks, starts, CONTEXT, BLOCK, "doc_id"), "doc_id")
+    found = windows.windows_at(blocks, starts, CONTEXT, BLOCK, "doc_id", on_short="null")
+    return _shown_windows(found.filter("x is not null"), "doc_id")
 
 
 def sample_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -400,17 +417,23 @@ def load_split(spark: SparkSession, folder: str) -> DataFrame:
     artifacts.write_token_stream(_blocks(spark, folder), paths[0])
     artifacts.write_token_stream(_blocks(spark, folder, "benchmark", "item_id"), paths[1])
     parts = [
-        part.select(F.lit(name).alias("split"), "n_ids")
+        part.select(F.lit(name).alias("split"), "n_ids", _content(F.col("ids"), F.col("start_pos")).alias("content"))
         for name, part in zip(("train", "valid"), artifacts.load_split(spark, *paths))
     ]
     return (
         parts[0]
         .unionByName(parts[1])
         .groupBy("split")
-        .agg(F.count(F.lit(1)).alias("n_blocks"), F.sum(F.col("n_ids").cast("long")).alias("n_ids"))
+        .agg(F.count(F.lit(1)).alias("n_blocks"), F.sum(F.col("n_ids").cast("long")).alias("n_ids"), F.sum("content").alias("content"))
     )
 
 
+def _content(ids: Column, start: Column) -> Column:
+    """One number for ids and their positions."""
+    weighted = F.transform(ids, lambda x, i: x.cast("long") * ((start + i) % 1009 + 1))
+    return F.aggregate(weighted, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
 # --- distributions and vectors ----------------------------------------------------
 
 
@@ -476,6 +499,21 @@ def top_p_sample(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.top_p_sample(scoring.top_p_filter(_tempered(spark, folder), TOP_P), SEED)
 
 
+def _nuclei(spark: SparkSession, folder: str) -> DataFrame:
+    tempered = F.transform("logits", lambda x: scoring.temper(x, TEMPERATURE))
+    return _logit_arrays(spark, folder).select("row_id", scoring.top_p_array(scoring.softmax_array(tempered), TOP_P).alias("nucleus"))
+
+
+def top_p_array(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _nuclei(spark, folder).select("row_id", F.explode("nucleus").alias("k"))
+    return rows.select("row_id", F.col("k.class_id").alias("class_id"), F.round("k.nucleus_prob", 6).alias("prob"))
+
+
+def top_p_sample_array(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = scoring.top_p_sample_array(F.col("nucleus"), SEED, F.col("row_id"))
+    return _nuclei(spark, folder).select("row_id", drawn.alias("class_id"))
+
+
 def embedding_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors of all tokens of the documents, summed up per document."""
     tokens = encoded(spark, folder).select(
@@ -486,11 +524,15 @@ def embedding_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"),
         F.sum("pos").cast("long").alias("pos_sum"),
-        F.round(F.sum(F.get("embedding", F.lit(0)).cast("double")), 4).alias("first"),
-        F.round(F.sum(F.get("embedding", F.lit(63)).cast("double")), 4).alias("last"),
+        F.round(F.sum(_weighted(F.col("embedding"))), 3).alias("entries"),
     )
 
 
+def _weighted(vector: Column) -> Column:
+    """All entries in one number that tells their places apart."""
+    return F.aggregate(F.transform(vector, lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+
+
 def rms_normalize(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select(
         "vec_id", F.posexplode(scoring.rms_normalize(F.col("embedding"))).alias("place", "entry")
@@ -520,6 +562,12 @@ def validate_held_out(spark: SparkSession, folder: str) -> DataFrame:
     return result.withColumn("loss", F.round("loss", 6))
 
 
+def score_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss and perplexity of every document under the table counted on all."""
+    found = nexttoken.score_documents(written(spark, folder), _steps(spark, folder), VOCAB_SIZE)
+    return found.select("doc_id", "n_tokens", F.round("loss", 6).alias("loss"), F.round("perplexity", 4).alias("perplexity"))
+
+
 def validate_sampled(spark: SparkSession, folder: str) -> DataFrame:
     """The same on windows drawn from the benchmark stream."""
     valid, _ = settle(_blocks(spark, folder, "benchmark", "item_id"), "blocks")
@@ -567,6 +615,8 @@ QUERIES: dict[str, Query] = {
         vocab_lookup,
         encode_pretokens,
         encode_documents,
+        encode_with_end,
+        flatten_with_end,
         encode_special,
         encode_lines,
         encode_by_line,
@@ -586,10 +636,13 @@ QUERIES: dict[str, Query] = {
         apply_temperature,
         top_p_filter,
         top_p_sample,
+        top_p_array,
+        top_p_sample_array,
         embedding_lookup,
         rms_normalize,
         next_token_table,
         validate_held_out,
+        score_documents,
         validate_sampled,
         generate_batch,
     )

@@ -432,7 +432,7 @@ def build() -> dict[str, str]:
             *doc_tokens,
             *_renamed(_tokens("benchmark", "item_id", "_valid"), "_valid"),
             final=" UNION ALL ".join(
-                f"SELECT '{split}' AS split, count(DISTINCT p // {c.BLOCK}) AS n_blocks, count(*) AS n_ids FROM {tokens}"
+                f"SELECT '{split}' AS split, count(DISTINCT p // {c.BLOCK}) AS n_blocks, count(*) AS n_ids, sum(token_id * (p % 1009 + 1))::BIGINT AS content FROM {tokens}"
                 for split, tokens in (("train", "tokens"), ("valid", "tokens_valid"))
             ),
         ),
@@ -463,7 +463,7 @@ def build() -> dict[str, str]:
         "embedding_lookup": _with(
             *documents,
             final="""SELECT doc_id, count(*) AS n_tokens, sum(pos)::BIGINT AS pos_sum,
-                            round(sum(embedding[1]::DOUBLE), 4) AS first, round(sum(embedding[64]::DOUBLE), 4) AS last
+                            round(sum(list_sum(list_transform(embedding, lambda e, i: e::DOUBLE * i))), 3) AS entries
                      FROM (SELECT doc_id, ids[i + 1] AS token_id, i AS pos FROM (
                              SELECT doc_id, ids, unnest(range(len(ids))) AS i FROM (
                                SELECT doc_id, flatten(list(ids ORDER BY pos)) AS ids
@@ -505,6 +505,42 @@ def build() -> dict[str, str]:
         ),
     }
     sql["softmax_array"] = sql["softmax"]
+    sql["top_p_array"] = sql["top_p_filter"]
+    sql["top_p_sample_array"] = sql["top_p_sample"]
+    ended = [
+        ("ended", "SELECT doc_id, pos, piece FROM pieces UNION ALL SELECT doc_id, 1000000000, '" + END + "' FROM documents"),
+    ]
+    sql["encode_with_end"] = _with(*documents, *ended, final=_encoded("doc_id").replace("FROM pieces", "FROM ended"))
+    sql["flatten_with_end"] = _with(
+        *documents,
+        *ended,
+        (
+            "stream",
+            """SELECT row_number() OVER (ORDER BY doc_id, pos, i) - 1 AS p, ids[i + 1] AS token_id
+               FROM (SELECT doc_id, pos, ids, unnest(range(len(ids))) AS i FROM ended JOIN piece_ids USING (piece))""",
+        ),
+        final=f"""SELECT p // {c.BLOCK} AS block_id, (p // {c.BLOCK}) * {c.BLOCK} AS start_pos, count(*)::INTEGER AS n_ids,
+                         array_to_string(list(token_id ORDER BY p), ' ') AS ids FROM stream GROUP BY p // {c.BLOCK}""",
+    )
+    sql["score_documents"] = _with(
+        *doc_tokens,
+        STEPS,
+        (
+            "asked",
+            """SELECT doc_id, context, next, count(*) AS n FROM (
+                 SELECT doc_id, token_id AS context, lead(token_id) OVER (PARTITION BY doc_id ORDER BY p) AS next FROM tokens)
+               WHERE next IS NOT NULL GROUP BY 1, 2, 3""",
+        ),
+        (
+            "scored",
+            f"""SELECT doc_id, sum(n)::BIGINT AS n,
+                       sum(n * -ln((coalesce(cnt, 0) + 1.0) / (coalesce(total, 0) + {c.VOCAB_SIZE}.0))) / sum(n) AS loss
+                FROM asked LEFT JOIN steps USING (context, next)
+                LEFT JOIN (SELECT context, sum(cnt) AS total FROM steps GROUP BY 1) USING (context) GROUP BY doc_id""",
+        ),
+        final="""SELECT doc_id, coalesce(n, 0) AS n_tokens, round(loss, 6) AS loss, round(exp(loss), 4) AS perplexity
+                 FROM documents LEFT JOIN scored USING (doc_id)""",
+    )
     sql["flatten_token_stream"] = sql["token_stream_file"]
     sql["generate_batch"] = _with(
         *doc_tokens,

@@ -299,8 +299,9 @@ def resume_training(
     merge_budget(vocab_size, special_tokens)
     words, merges = states.read_training_state(spark, state_path)
     training = Training(spark, tuple(special_tokens))
-    training.merges = [(l, r) for l, r, _ in merges]
-    training.merge_counts = [cnt for _, _, cnt in merges]
+    budget = merge_budget(vocab_size, special_tokens)
+    training.merges = [(l, r) for l, r, _ in merges[:budget]]  # a smaller vocabulary is a shorter list
+    training.merge_counts = [cnt for _, _, cnt in merges[:budget]]
     return _run(training, words, vocab_size, state_path)
 
 

@@ -20,6 +20,7 @@ def local_session(cores: int = 8, app: str = "pairloom", **conf: str) -> SparkSe
         "spark.sql.shuffle.partitions": str(cores),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+        "pairloom.read.partitions": str(cores),  # the sample tables have one row group each
         # call-site capture costs more than planning when a loop builds many plans
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
@@ -44,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
         return current.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="pairloom-")
     context.setCheckpointDir(named)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.encode import MAX_ID
+from pairloom.operators.stream import BUCKET, BUCKET_BLOCKS
 
 LATIN = "ISO-8859-1"  # one character per byte
 
@@ -48,17 +49,23 @@ def write_merges(merges: DataFrame, path: str) -> None:
 
 
 def read_merges(spark: SparkSession, path: str) -> DataFrame:
-    """Merges from JSON pairs or ``left right`` lines; other lines are skipped."""
-    lines = F.split("value", "\n")
+    """Merges from JSON pairs or ``left right`` lines; other lines are skipped.
+
+    Lines end in any of LF, CR LF and CR.  The rank is the line's place, so more
+    than one file is refused.
+    """
+    lines = F.split("value", "\r\n|\r|\n")
 
     def sides(line: Column) -> Column:
         as_json = F.when(line.rlike(r"^\s*\[.*\]\s*$"), F.from_json(line, "array<string>"))
         return F.coalesce(as_json, F.split(line, " ", 2))
 
     pairs = F.filter(F.transform(lines, sides), lambda p: F.size(p) == 2)
+    raw = spark.read.text(path, wholetext=True)
+    if raw.limit(2).count() > 1:
+        raise ValueError("merges have to be one file: ranks go on from line to line")
     return (
-        spark.read.text(path, wholetext=True)
-        .select(F.posexplode(pairs).alias("rank", "p"))
+        raw.select(F.posexplode(pairs).alias("rank", "p"))
         .select(
             "rank",
             F.encode(F.col("p")[0], LATIN).alias("l"),
@@ -68,16 +75,23 @@ def read_merges(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_token_stream(blocks: DataFrame, path: str, max_id: int = MAX_ID) -> None:
-    """Parquet blocks, each task's in position order; ids outside ``0..max_id`` raise."""
+    """Parquet blocks in buckets of neighbouring blocks; ids outside ``0..max_id`` raise.
+
+    Each bucket is a folder, so a reader that needs some positions opens few files.
+    """
     fits = F.forall("ids", lambda i: (i >= 0) & (i <= max_id))
     checked = F.when(fits, F.col("ids")).otherwise(
         F.raise_error(F.lit(f"token id outside 0..{max_id}")).cast("array<int>")
     )
-    blocks.withColumn("ids", checked).sortWithinPartitions("block_id").write.mode("overwrite").parquet(path)
+    bucketed = blocks.withColumn("ids", checked).withColumn(BUCKET, F.expr(f"block_id div {BUCKET_BLOCKS}"))
+    placed = bucketed.repartitionByRange(BUCKET, "block_id").sortWithinPartitions(BUCKET, "block_id")
+    placed.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
 def read_token_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Blocks with their bucket as a further column."""
+    schema = f"block_id long, start_pos long, n_ids int, ids array<int>, {BUCKET} long"
+    return spark.read.schema(schema).parquet(path)
 
 
 def load_split(spark: SparkSession, train_path: str, valid_path: str) -> tuple[DataFrame, DataFrame]:

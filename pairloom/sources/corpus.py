@@ -19,7 +19,8 @@ def decode_text(raw: Column, on_invalid: str = "replace", normalize_newlines: bo
     """Text of a string or binary column whose bytes may not be valid UTF-8.
 
     ``strict`` raises, ``replace`` puts U+FFFD and ``ignore`` drops the invalid
-    bytes.  Only rows with invalid bytes reach Python for ``ignore``.
+    bytes; for ``ignore`` only the bytes of invalid rows are sent to Python, the
+    others as nulls.
     """
     text = raw.cast("string")
     if on_invalid == "strict":
@@ -41,11 +42,13 @@ def read_corpus(
     drop_empty: bool = True,
     on_invalid: str = "replace",
     normalize_newlines: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``(doc_id, text, file_path, block_start)``, one row per delimited document.
 
     Spark splits plain files by byte range at the delimiter.  Gzip files cannot
-    be split, so their documents are spread over the cluster after reading.
+    be split; ``partitions`` spreads what was read over so many tasks, by a
+    shuffle of the texts, and is best left to folders of large gzip files.
     ``(file_path, block_start, doc_id)`` is the order of the files.
     """
     raw = spark.read.text(path, lineSep=delimiter).select(
@@ -55,6 +58,4 @@ def read_corpus(
         F.col("_metadata.file_block_start").alias("block_start"),
     )
     docs = raw.filter(F.length("text") > 0) if drop_empty else raw
-    if any(f.endswith(".gz") for f in docs.inputFiles()):
-        return docs.repartition(spark.sparkContext.defaultParallelism)
-    return docs
+    return docs if partitions is None else docs.repartition(partitions)

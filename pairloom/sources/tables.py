@@ -9,13 +9,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """A table with work-heavy text columns.
+SPREAD = "pairloom.read.partitions"
 
-    A small table may come in fewer splits than there are cores, or in one row
-    group that no two tasks can share; it is spread over the cores.  A table
-    with more splits than cores is read where it lies, without a shuffle.
+
+def read_texts(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """A table with work-heavy text columns, read where it lies.
+
+    ``partitions``, or else the session setting ``pairloom.read.partitions``,
+    spreads the rows over so many tasks by a shuffle.  That is for small files of
+    a single row group, which no two tasks can share; neither is set by default.
     """
     frame = read_table(spark, path)
-    cores = spark.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() <= cores else frame
+    wanted = partitions or int(spark.conf.get(SPREAD, "0"))
+    return frame.repartition(wanted) if wanted else frame

@@ -8,20 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pairloom.functions.patterns import lines
 from pairloom.operators.encode import Tokenizer, encode_documents
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
-def text_stream(spark: SparkSession, path: str, delimiter: str = "\n", keep_delimiter: bool = True) -> DataFrame:
+
+def text_stream(spark: SparkSession, path: str, delimiter: str | None = None, by_line: bool = True) -> DataFrame:
     """``(text, file_path)`` rows of the files that arrive in a folder.
 
-    By default each line is one text with its line feed.
+    Each line is a text with its own line feed, if it has one, or with
+    ``by_line=False`` each file.  A file is one row at first; with ``delimiter``
+    each document is, for files too large for that, and the delimiters go.
     """
-    text = F.concat("value", F.lit(delimiter)) if keep_delimiter else F.col("value")
-    return (
-        spark.readStream.option("lineSep", delimiter)
-        .text(path)
-        .select(text.alias("text"), F.col("_metadata.file_path").alias("file_path"))
-    )
+    if delimiter is None:
+        files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).load(path)
+        raw = files.select(F.make_valid_utf8(F.col("content").cast("string")).alias("value"), F.col("path").alias("file_path"))
+    else:
+        raw = spark.readStream.option("lineSep", delimiter).text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
+    text = F.explode(lines(F.col("value"))) if by_line else F.col("value")
+    return raw.select(text.alias("text"), "file_path")
 
 
 def encode_stream(

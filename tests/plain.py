@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections import Counter
+from itertools import accumulate, pairwise
 
 import regex
 
+# fixed value
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -21,27 +23,22 @@ def cut_text(text, specials=()):
 
 
 def merge_word(word, left, right):
-    out, i = [], 0
-    while i < len(word):
-        if word[i : i + 2] == (left, right):
-            out.append(left + right)
-            i += 2
-        else:
-            out.append(word[i])
-            i += 1
-    return tuple(out)
+    """A word is its bytes and the places where symbols end; a merge takes away the place inside each chosen pair."""
+    gone = set()
+    for k, pair in enumerate(pairwise(word)):
+        if pair == (left, right) and k - 1 not in gone:
+            gone.add(k)
+    ends = [end for k, end in enumerate(accumulate(map(len, word))) if k not in gone]
+    whole = b"".join(word)
+    return tuple(whole[a:b] for a, b in pairwise([0, *ends]))
 
 
 def count_pairs(words):
-    found = Counter()
-    for word, n in words.items():
-        for pair in zip(word, word[1:]):
-            found[pair] += n
-    return found
+    return Counter(pair for word, n in words.items() for pair in pairwise(word) for _ in range(n))
 
 
 def split_bytes(text):
-    return tuple(bytes([b]) for b in text.encode())
+    return tuple(map(bytes, zip(text.encode())))
 
 
 def train(counts, n):
@@ -64,12 +61,8 @@ def train(counts, n):
 
 
 def encode_piece(piece, ranks):
-    """Symbols after merging the lowest rank present until none is."""
+    """Symbols once no ranked pair is left, always merging the one of lowest rank."""
     word = split_bytes(piece)
-    while True:
-        found = [ranks[p] for p in zip(word, word[1:]) if p in ranks]
-        if not found:
-            return list(word)
-        rank = min(found)
-        (pair,) = [p for p, r in ranks.items() if r == rank]
-        word = merge_word(word, *pair)
+    while present := ranks.keys() & set(pairwise(word)):
+        word = merge_word(word, *min(present, key=ranks.get))
+    return list(word)
