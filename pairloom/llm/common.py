@@ -43,10 +43,8 @@ def unit_hash(seed: int, *keys: Column | str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("bigint")
 
 
-def row_count(frame: DataFrame) -> int:
-    return frame.count()
-
-
-def bounded_sample(frame: DataFrame, rows: int, order: list[Column]) -> DataFrame:
-    """At most ``rows`` rows, the first by ``order``: each task keeps its own first ones before they meet."""
-    return frame.orderBy(*order).limit(rows)
+def free_name(frame: DataFrame, stem: str) -> str:
+    """``stem``, longer if need be, so that no column of ``frame`` begins with it."""
+    while any(c.lower().startswith(stem.lower()) for c in frame.columns):
+        stem += "_"
+    return stem

@@ -209,7 +209,7 @@ def fit(
 
     rows = [r["row"] for r in map_batches(drawn, make_rows, "row array<double>").limit(FINDINGS).collect()]
     rows.sort()
-    x = np.array(rows).reshape(len(rows), -1)
+    x = np.array(rows) if rows else np.zeros((0, 1))
     return Detector(language, Forest(seed).fit(x, np.array([label(r) for r in rows])))
 
 

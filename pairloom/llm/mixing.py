@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import unit_hash
+from pairloom.llm.common import free_name, unit_hash
 from pairloom.session import settle
 
 LEVELS = ("domain", "lang", "source")
@@ -123,18 +123,19 @@ def plan(
     return found, few
 
 
-def _taken(docs: DataFrame, planned: tuple[DataFrame, bool], domain: Column, seed: int, n: Column, id_column: str) -> DataFrame:
-    """``docs`` with ``_epochs`` and ``_rest``: its whole epochs and the tokens taken in the last one."""
+def _taken(docs: DataFrame, planned: tuple[DataFrame, bool], domain: Column, seed: int, n: Column, id_column: str, free: str = "") -> DataFrame:
+    """``docs`` with its whole epochs and the tokens taken in the last one, under names that begin with ``free``."""
     table, few = planned
-    kept = table.select(*(F.col(x).alias(f"_{x}") for x in (*LEVELS, "epochs", "cut_h", "cut_id", "cut_tokens")))
+    kept = table.select(*(F.col(x).alias(f"{free}_{x}") for x in (*LEVELS, "epochs", "cut_h", "cut_id", "cut_tokens")))
     keys = (F.coalesce(domain.cast("string"), F.lit("")), F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit("")))
-    on = [F.col(f"_{x}") == k for x, k in zip(LEVELS, keys, strict=True)]
+    on = [F.col(f"{free}_{x}") == k for x, k in zip(LEVELS, keys, strict=True)]
     both = docs.join(F.broadcast(kept) if few else kept, on)
-    spot, known = _spot("_epochs", id_column, seed), _known(id_column)
-    first = (spot < F.col("_cut_h")) | ((spot == F.col("_cut_h")) & (known < F.col("_cut_id")))
-    last = (spot == F.col("_cut_h")) & (known == F.col("_cut_id"))
-    rest = F.when(first, n).when(last, F.least(n, F.col("_cut_tokens"))).otherwise(0).cast("long")
-    return both.withColumn("_rest", rest)
+    spot, known = _spot(f"{free}_epochs", id_column, seed), _known(id_column)
+    cut_h, cut_id = F.col(f"{free}_cut_h"), F.col(f"{free}_cut_id")
+    first = (spot < cut_h) | ((spot == cut_h) & (known < cut_id))
+    last = (spot == cut_h) & (known == cut_id)
+    rest = F.when(first, n).when(last, F.least(n, F.col(f"{free}_cut_tokens"))).otherwise(0).cast("long")
+    return both.withColumn(f"{free}_rest", rest)
 
 
 def mix(
@@ -165,5 +166,7 @@ def keep_mixed(
 ) -> DataFrame:
     """The rows of ``docs`` that one epoch of the mixture takes, whole; texts are not shuffled unless the tree is large."""
     planned = plan(docs, share, weights, domain, 1, seed, None, id_column, text_column)
-    found = _taken(docs, planned, domain, seed, word_count(text_column), id_column)
-    return found.filter((F.col("_epochs") > 0) | (F.col("_rest") > 0)).select(*(docs[c] for c in docs.columns))
+    free = free_name(docs, "_mix")
+    found = _taken(docs, planned, domain, seed, word_count(text_column), id_column, free)
+    kept = found.filter((F.col(f"{free}_epochs") > 0) | (F.col(f"{free}_rest") > 0))
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))

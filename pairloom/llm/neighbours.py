@@ -129,7 +129,8 @@ def nearest(
     query is not its own neighbour but its copies are.  Vectors that are null,
     zero, of another length than most or hold null or non-finite components take
     no part; rows without id neither.  A repeated id counts as one more copy.
-    The search is approximate only in which vectors it looks at.
+    The search is approximate only in which vectors it looks at; a query whose
+    buckets hold too few is measured against all.
     """
     is_query = F.lit(True) if is_query is None else is_query
     known, _ = settle(classes(vectors, k, id_column, vector_column), "classes")
@@ -189,6 +190,27 @@ def nearest(
         return pd.concat(out) if out else pd.DataFrame({"query_rep": [], "rep": [], "score": []})
 
     found = stored.groupBy("block").cogroup(visits.groupBy("block")).applyInPandas(search, "query_rep long, rep long, score double")
+    found, _ = settle(found, "found")
+    # queries whose buckets hold fewer classes than are to be returned are measured against every block
+    seen = found.groupBy("query_rep").agg(F.count_distinct("rep").alias("n"))
+    enough = min(k + 1, reps.count())
+    short = searched.join(seen, searched["rep"] == seen["query_rep"], "left").filter(F.coalesce("n", F.lit(0)) < enough).select("rep", "v")
+    if not short.isEmpty():
+        n_all = max(1, -(-reps.count() // BLOCK))
+        everywhere = reps.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(n_all)).cast("int"))
+        asked_all = short.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_all - 1))))
+
+        def measure(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+            out = [pd.DataFrame({"query_rep": [], "rep": [], "score": []})]
+            matrix, ids = np.stack(held["v"].to_numpy()) if len(held) else None, held["rep"].to_numpy()
+            for query, vector in zip(asking["rep"], asking["v"], strict=True) if len(held) else ():
+                apart = np.concatenate([distances(vector, matrix[i : i + CHUNK]) for i in range(0, len(ids), CHUNK)])
+                best = np.lexsort((ids, apart))[: k + 1]
+                out.append(pd.DataFrame({"query_rep": query, "rep": ids[best], "score": apart[best]}))
+            return pd.concat(out)
+
+        more = everywhere.groupBy("block").cogroup(asked_all.groupBy("block")).applyInPandas(measure, "query_rep long, rep long, score double")
+        found = found.unionByName(more)
     # a query's own class is asked for too: its copies are neighbours
     merged = found.distinct().withColumn("n", F.row_number().over(Window.partitionBy("query_rep").orderBy("score", "rep")))
     members = known.groupBy("rep").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))  # k + 1 ids at most

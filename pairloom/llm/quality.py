@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import kind_of, map_batches, unit_hash
+from pairloom.llm.common import free_name, kind_of, map_batches, unit_hash
 from pairloom.session import bounded_rows
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
@@ -216,8 +216,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = SEED, id_column: str
     return scorer
 
 
-def score(docs: DataFrame, scorer: Scorer, id_column: str = "doc_id", text_column: str = "text", carry: bool = False) -> DataFrame:
-    """``(id, quality_score)`` of every row, or all columns and the score (``carry``).
+def score(docs: DataFrame, scorer: Scorer, id_column: str = "doc_id", text_column: str = "text", carry: bool = False,
+          name: str = "quality_score") -> DataFrame:
+    """``(id, quality_score)`` of every row, or all columns and the score (``carry``), which ``name`` names.
 
     The score is the probability of good; texts without words, null ones too, get 0.
     """
@@ -237,19 +238,17 @@ def score(docs: DataFrame, scorer: Scorer, id_column: str = "doc_id", text_colum
 
         def work(batch: pa.RecordBatch) -> dict:
             kept = {n: batch.column(k) for k, n in enumerate(names) if carry or n == id_column}
-            return kept | {"quality_score": [one(t) for t in batch.column(at).to_pylist()]}
+            return kept | {name: [one(t) for t in batch.column(at).to_pylist()]}
 
         return work
 
     kept = names if carry else [id_column]
-    schema = ", ".join(f"`{n}` {kind_of(docs, n)}" for n in kept) + ", quality_score double"
+    schema = ", ".join(f"`{n}` {kind_of(docs, n)}" for n in kept) + f", `{name}` double"
     return map_batches(docs.select(*[f"`{n}`" for n in names]), make, schema)
 
 
 def keep_good(docs: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text the scorer, fitted on ``docs``, does not reject."""
-    plain = docs.drop("quality_score")
-    if len(plain.columns) != len(docs.columns):
-        raise ValueError("docs already has a quality_score")
-    found = score(docs, fit(docs, id_column=id_column, text_column=text_column), id_column, text_column, carry=True)
-    return found.filter(F.col("quality_score") >= threshold).drop("quality_score")
+    name = free_name(docs, "quality_score")
+    found = score(docs, fit(docs, id_column=id_column, text_column=text_column), id_column, text_column, carry=True, name=name)
+    return found.filter(F.col(name) >= threshold).drop(name)
