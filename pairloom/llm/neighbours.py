@@ -192,9 +192,10 @@ def nearest(
     found = stored.groupBy("block").cogroup(visits.groupBy("block")).applyInPandas(search, "query_rep long, rep long, score double")
     found, _ = settle(found, "found")
     # queries whose buckets hold fewer classes than are to be returned are measured against every block
-    seen = found.groupBy("query_rep").agg(F.count_distinct("rep").alias("n"))
+    seen = found.groupBy(F.col("query_rep").alias("rep")).agg(F.count_distinct(found["rep"]).alias("n"))
     enough = min(k + 1, reps.count())
-    short = searched.join(seen, searched["rep"] == seen["query_rep"], "left").filter(F.coalesce("n", F.lit(0)) < enough).select("rep", "v")
+    short = searched.join(seen, "rep", "left").filter(F.coalesce("n", F.lit(0)) < enough).select("rep", "v")
+    short, _ = settle(short, "short")
     if not short.isEmpty():
         n_all = max(1, -(-reps.count() // BLOCK))
         everywhere = reps.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(n_all)).cast("int"))
