@@ -32,6 +32,8 @@ MOST_LANGUAGES = 256
 MOST_NODES = 8_000_000
 #: Words and byte windows remembered in a Python worker; beyond it the memory starts anew.
 REMEMBERED = 1_000_000
+#: Words of a text looked up at once.
+CHUNK = 1 << 15
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -96,42 +98,51 @@ class Trees:
         return total + 8.0
 
 
-class Scorer:
-    """Code lengths of whole texts, with remembered words."""
+class Words(dict):
+    """Maps a word to the row of its code lengths in ``costs``."""
 
     def __init__(self, trees: Trees):
+        super().__init__()
         self.trees = trees
-        self.windows: dict[bytes, np.ndarray] = {}
-        self.words: dict[str, np.ndarray] = {}
+        self.windows: dict[bytes, tuple[float, ...]] = {}
+        self.costs = np.zeros((max(2 * CHUNK, min(REMEMBERED, (1 << 23) // max(1, len(trees.languages)))), len(trees.languages)))
 
-    def _word(self, word: str) -> np.ndarray:
+    def __missing__(self, word: str) -> int:
         order, windows = self.trees.order, self.windows
         shown = b" " + word.encode("utf-8") + b" "
-        total = np.zeros(len(self.trees.languages))
+        rows = []
         for at in range(1, len(shown)):
-            window = shown[max(0, at - order) : at + 1]
+            window = shown[at - order if at > order else 0 : at + 1]
             found = windows.get(window)
             if found is None:
                 if len(windows) >= REMEMBERED:
                     windows.clear()
-                found = windows[window] = np.array(
-                    [self.trees.bits(k, window[:-1], window[-1:]) for k in range(len(self.trees.languages))]
+                found = windows[window] = tuple(
+                    self.trees.bits(k, window[:-1], window[-1:]) for k in range(len(self.trees.languages))
                 )
-            total += found
-        return total
+            rows.append(found)
+        self[word] = row = len(self)
+        self.costs[row] = list(map(sum, zip(*rows, strict=True)))
+        return row
+
+
+class Scorer:
+    """Code lengths of whole texts, with remembered words."""
+
+    def __init__(self, trees: Trees):
+        self.trees = trees
+        self.words = Words(trees)
 
     def lengths(self, text: str) -> np.ndarray:
         """Bits of the text in each language."""
         words, known = words_of(text), self.words
-        parts = []
-        for word in words:
-            found = known.get(word)
-            if found is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                found = known[word] = self._word(word)
-            parts.append(found)
-        return np.sum(parts, axis=0) if parts else np.zeros(len(self.trees.languages))
+        total = np.zeros(len(self.trees.languages))
+        for begin in range(0, len(words), CHUNK):
+            part = words[begin : begin + CHUNK]
+            if len(known) + len(part) > len(known.costs):
+                known.clear()
+            total += known.costs[np.fromiter(map(known.__getitem__, part), np.int64, len(part))].sum(axis=0)
+        return total
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.trees.languages or not LETTER.search(text):
