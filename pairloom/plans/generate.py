@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.draws import hashed_unit
 from pairloom.operators.scoring import apply_temperature, softmax, top_p_filter
-from pairloom.session import settle
+from pairloom.operators.decode import decode
+from pairloom.operators.encode import Tokenizer, encode_documents
+from pairloom.session import settle, table_bytes
 
 END_ID = 256
 STEPS_PER_TABLE = 8  # steps between two written tables
+SAMPLER_BYTES = 64 << 20  # of a written sampler that may be broadcast
 
 
 def sampler_table(table: DataFrame, temperature: float = 1.0, top_p: float = 0.9) -> DataFrame:
@@ -49,9 +52,12 @@ def generate_batch(
     appended, at ``max_tokens``, or at a context the sampler does not know.
     Each step joins the rows to the sampler on their context; ended rows keep a
     context that is theirs alone, so that they match nothing and do not pile up
-    on one key.
+    on one key.  A sampler of at most ``SAMPLER_BYTES`` is sent to every task
+    and the rows stay where they are.
     """
-    sampler, _ = settle(sampler, "sampler")
+    sampler, path = settle(sampler, "sampler")
+    if table_bytes(sampler.sparkSession, path) <= SAMPLER_BYTES:
+        sampler = F.broadcast(sampler)
     context = F.array_join(F.slice("ids", -width, width), " ")
     ready = F.size("ids") >= width
     idle = F.concat(F.lit("#"), F.col("prompt_id").cast("string"))
@@ -82,3 +88,23 @@ def generate_batch(
             if rows.filter("live").isEmpty():
                 break
     return rows.select("prompt_id", "ids", "n_new")
+
+
+def continue_texts(
+    prompts: DataFrame,
+    tokenizer: Tokenizer,
+    sampler: DataFrame,
+    max_tokens: int,
+    end_token: str | None = None,
+    width: int = 1,
+    seed: int = 0,
+) -> DataFrame:
+    """``(prompt_id, text, n_new)`` from ``prompts (prompt_id, text)``: each text with its continuation.
+
+    A row ends at the id of ``end_token``, one of the special tokens, or without
+    one at ``max_tokens`` or an unknown context only.
+    """
+    end_id = -1 if end_token is None else tokenizer.id_of(end_token)
+    ids = encode_documents(prompts, tokenizer, keys=("prompt_id",))
+    longer = generate_batch(ids, sampler, max_tokens, width, seed, end_id)
+    return decode(longer, tokenizer.vocab).select("prompt_id", "text", "n_new")

@@ -297,7 +297,7 @@ def resume_training(
 ) -> Training:
     """Continue from the newest complete state below ``state_path``."""
     merge_budget(vocab_size, special_tokens)
-    words, merges = states.read_training_state(spark, state_path)
+    words, merges = states.read_training_state(spark, state_path, special_tokens)
     training = Training(spark, tuple(special_tokens))
     budget = merge_budget(vocab_size, special_tokens)
     training.merges = [(l, r) for l, r, _ in merges[:budget]]  # a smaller vocabulary is a shorter list
@@ -312,19 +312,23 @@ def _run(training: Training, words: DataFrame, vocab_size: int, state_path: str
     alphabet = Alphabet(l + r for l, r in training.merges)
     tables = _Tables(words, alphabet)
     k = FEWEST_CANDIDATES
+    counted = True  # whether the floor is as low as a full count makes it
 
     def save() -> None:
         if state_path is not None:
-            states.write_training_state(tables.words, training.merges, training.merge_counts, state_path)
+            states.write_training_state(
+                tables.words, training.merges, training.merge_counts, state_path, training.special_tokens
+            )
 
     try:
         while len(training.merges) < budget:
             candidates = tables.best(k)
-            if not candidates:
-                if tables.floor == 1:
-                    break
-                tables.count_again()
+            if len(candidates) < k and tables.floor > 1 and not counted:
+                tables.count_again()  # before the batches run short
+                counted = True
                 continue
+            if not candidates:
+                break
             batch = choose_batch(
                 candidates,
                 lambda some: surroundings(tables.words, some),
@@ -337,6 +341,7 @@ def _run(training: Training, words: DataFrame, vocab_size: int, state_path: str
             training.merges += [(c.left, c.right) for c in batch]
             training.merge_counts += [c.cnt for c in batch]
             training.rounds += 1
+            counted = False
             k = min(max(FEWEST_CANDIDATES, 4 * len(batch)), MOST_CANDIDATES)
             if known_bytes:
                 tables.count_again()

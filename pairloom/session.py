@@ -73,6 +73,12 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files of a written table."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def bounded_rows(frame: DataFrame, limit: int, what: str) -> list:
     """Collect a table whose size has an upper bound, and refuse anything larger."""
     rows = frame.limit(limit + 1).collect()

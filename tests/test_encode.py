@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from pairloom.functions.bpe import MergeRanks
-from pairloom.operators import decode, encode, vocab
+from pairloom.operators import decode, encode, nexttoken, vocab
+from pairloom.plans import generate
 from pairloom.streaming import encode as streaming
 
 END = "<|endoftext|>"
@@ -148,3 +149,29 @@ def test_roundtrip(spark, tok):
     texts = ["", "a\r\n b", " \u0085x", "\U0001f600é", f"{END}{END} y", "\x00\x01", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert decode.roundtrip_audit(docs, tok).isEmpty()
+
+
+def test_roundtrip_returns_what_differs(spark, tok, monkeypatch):
+    texts = ["ab", "cd", "ab", None, "cd"]
+    docs = spark.createDataFrame([(None if i == 4 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    right = decode.encode_documents
+
+    def wrong(*args):
+        ids = F.when(F.coalesce("doc_id", F.lit(1)) == 1, F.array(F.lit(120))).otherwise(F.col("ids"))
+        return right(*args).withColumn("ids", ids)
+
+    monkeypatch.setattr(decode, "encode_documents", wrong)
+    found = sorted(decode.roundtrip_audit(docs, tok).collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"]))
+    assert [tuple(r) for r in found] == [(1, "cd", "x"), (None, "cd", "x")]
+
+
+def test_texts_go_on_as_ids_do(spark, tok, monkeypatch):
+    docs = spark.createDataFrame([(1, "abcabcabd"), (2, "bcab abd")], "doc_id long, text string")
+    sampler = generate.sampler_table(nexttoken.next_token_table(encode.encode_documents(docs, tok, end_token=END)), 0.8, 0.9)
+    prompts = spark.createDataFrame([(1, "ab"), (2, "zz"), (3, None), (4, " b")], "prompt_id long, text string")
+    got = {r["prompt_id"]: (r["text"], r["n_new"]) for r in generate.continue_texts(prompts, tok, sampler, 6, END, seed=2).collect()}
+    monkeypatch.setattr(generate, "SAMPLER_BYTES", -1)
+    ids = generate.generate_batch(encode.encode_documents(prompts, tok, keys=("prompt_id",)), sampler, 6, seed=2, end_id=tok.id_of(END))
+    want = {r["prompt_id"]: (r["text"], r["n_new"]) for r in decode.decode(ids, tok.vocab).collect()}
+    assert got == want and got[2] == ("zz", 0) and got[3] == ("", 0)
+    assert got[1][0].startswith("ab") and got[4][0].startswith(" b")

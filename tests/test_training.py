@@ -81,6 +81,25 @@ def test_resumed_equals_uninterrupted(spark, tmp_path, monkeypatch):
     assert learned(resumed) == learned(straight)
 
 
+def test_states_are_pruned_and_hold_their_settings(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(train, "ROUNDS_PER_TABLE", 1)
+    table = counts.count_pretokens(spark.read.parquet(f"{SMALL}/benchmark.parquet"), [END]).cache()
+    state = f"file:{tmp_path}/state"
+    whole = train.train_bpe(table, 257 + 20, [END], state_path=state)
+    steps = sorted(int(p.name.removeprefix("step=")) for p in (tmp_path / "state").iterdir())
+    assert whole.rounds > 2 and len(steps) == 2 and steps[-1] == 20
+    with pytest.raises(ValueError, match="special tokens"):
+        train.resume_training(spark, state, 256 + 30)
+    assert train.resume_training(spark, state, 257 + 20, [END]).merges == whole.merges
+
+
+def test_low_floors_change_no_merge(spark, monkeypatch):
+    monkeypatch.setattr(train, "PAIRS_KEPT", 40)
+    table = counts.count_pretokens(spark.read.parquet(f"{SMALL}/benchmark.parquet")).cache()
+    found = {r["pretoken"]: r["cnt"] for r in table.collect()}
+    assert learned(train.train_bpe(table, 256 + 90)) == plain.train(found, 90)
+
+
 def test_resume_needs_a_state(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         train.resume_training(spark, f"file:{tmp_path}/none", 300)
