@@ -23,11 +23,11 @@ RMS_EPS = 1e-5
 UNITS = 1e12  # probabilities are added up in whole numbers of this share, so that decimal ties are exact
 
 
-def _units(prob: Column) -> Column:
+def units(prob: Column) -> Column:
     return F.round(prob * UNITS).cast("long")
 
 
-def _limit(p: float) -> int:
+def limit(p: float) -> int:
     return round(p * UNITS)
 
 
@@ -123,9 +123,9 @@ def top_p_filter(probs: DataFrame, p: float, row: Sequence[str] = ("row_id",)) -
     ``mass`` the probability of the nucleus.  Probabilities are added up in whole
     units of 10^-12, so the result does not depend on how rows are partitioned.
     """
-    narrow = probs.select(*row, "class_id", "prob", _units(F.col("prob")).alias("units"))
+    narrow = probs.select(*row, "class_id", "prob", units(F.col("prob")).alias("units"))
     order = [F.desc("units"), F.asc("class_id")]
-    kept = running_total(narrow, "units", order, row, "before").filter(F.col("before") <= _limit(p))
+    kept = running_total(narrow, "units", order, row, "before").filter(F.col("before") <= limit(p))
     mass = kept.groupBy(*row).agg(F.sum("units").alias("mass"))
     shares = kept.join(mass, list(row)).withColumn("nucleus_prob", F.col("units") / F.col("mass"))
     return shares.select(*row, "class_id", "prob", *((F.col(c) / UNITS).alias(c) for c in ("before", "mass")), "nucleus_prob")
@@ -133,12 +133,12 @@ def top_p_filter(probs: DataFrame, p: float, row: Sequence[str] = ("row_id",)) -
 
 def top_p_array(probs: Column, p: float) -> Column:
     """The same within a row: ``array<struct<class_id, prob, before, passes, mass, nucleus_prob>>`` in nucleus order, without a shuffle."""
-    sized = F.transform(probs, lambda x, i: F.struct((-_units(x)).alias("less"), i.alias("class_id"), x.alias("prob")))
+    sized = F.transform(probs, lambda x, i: F.struct((-units(x)).alias("less"), i.alias("class_id"), x.alias("prob")))
     start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<struct<class_id:int,prob:double,units:long,before:long>>").alias("kept"))
 
     def step(state: Column, x: Column) -> Column:
         entry = F.struct(x["class_id"].alias("class_id"), x["prob"].alias("prob"), (-x["less"]).alias("units"), state["sum"].alias("before"))
-        kept = F.when(state["sum"] <= _limit(p), F.concat(state["kept"], F.array(entry))).otherwise(state["kept"])
+        kept = F.when(state["sum"] <= limit(p), F.concat(state["kept"], F.array(entry))).otherwise(state["kept"])
         return F.struct((state["sum"] - x["less"]).alias("sum"), kept.alias("kept"))
 
     kept = F.aggregate(F.array_sort(sized), start, step, lambda s: s["kept"])

@@ -584,6 +584,14 @@ def generate_batch(spark: SparkSession, folder: str) -> DataFrame:
     return longer.select("prompt_id", "n_new", spaced(F.col("ids")).alias("ids"))
 
 
+def generate_smoothed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over the whole vocabulary, tokens and contexts never seen included."""
+    prompts = encoded(spark, folder, "benchmark", "item_id").withColumnRenamed("item_id", "prompt_id")
+    sampler = generate.smoothed_sampler(_steps(spark, folder), VOCAB_SIZE, TEMPERATURE, TOP_P)
+    longer = generate.generate_batch(prompts, sampler, NEW_TOKENS, seed=SEED)
+    return longer.select("prompt_id", "n_new", spaced(F.col("ids")).alias("ids"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -645,5 +653,6 @@ QUERIES: dict[str, Query] = {
         score_documents,
         validate_sampled,
         generate_batch,
+        generate_smoothed,
     )
 }

@@ -232,14 +232,19 @@ def _step_loss(asked: str) -> str:
                LEFT JOIN (SELECT context, sum(cnt) AS total FROM steps GROUP BY 1) USING (context)"""
 
 
-def _generation() -> list[tuple[str, str]]:
+#: Every token after every token, with its count or 0.
+ALL_STEPS = f"""(SELECT context, next, coalesce(cnt, 0) AS cnt FROM (
+    SELECT a.i AS context, b.i AS next FROM range({c.VOCAB_SIZE}) a(i), range({c.VOCAB_SIZE}) b(i)) LEFT JOIN steps USING (context, next))"""
+
+
+def _generation(steps: str = "steps") -> list[tuple[str, str]]:
     """Continuations of the benchmark items, one CTE per new token."""
     ctes = [
         (
             "chances",
             f"""SELECT context, next, x / sum(x) OVER (PARTITION BY context) AS prob FROM (
                   SELECT context, next, exp(logit - max(logit) OVER (PARTITION BY context)) AS x FROM (
-                    SELECT context, next, ln(cnt + 1.0) / ({c.TEMPERATURE} + 1e-8) AS logit FROM steps))""",
+                    SELECT context, next, ln(cnt + 1.0) / ({c.TEMPERATURE} + 1e-8) AS logit FROM {steps}))""",
         ),
         (
             "kept",
@@ -542,11 +547,12 @@ def build() -> dict[str, str]:
                  FROM documents LEFT JOIN scored USING (doc_id)""",
     )
     sql["flatten_token_stream"] = sql["token_stream_file"]
-    sql["generate_batch"] = _with(
-        *doc_tokens,
-        STEPS,
-        *_renamed(_tokens("benchmark", "item_id", "_valid"), "_valid"),
-        *_generation(),
-        final=f"SELECT prompt_id, n_new, array_to_string(ids, ' ') AS ids FROM g{c.NEW_TOKENS}",
-    )
+    for name, steps in (("generate_batch", "steps"), ("generate_smoothed", ALL_STEPS)):
+        sql[name] = _with(
+            *doc_tokens,
+            STEPS,
+            *_renamed(_tokens("benchmark", "item_id", "_valid"), "_valid"),
+            *_generation(steps),
+            final=f"SELECT prompt_id, n_new, array_to_string(ids, ' ') AS ids FROM g{c.NEW_TOKENS}",
+        )
     return sql

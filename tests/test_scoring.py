@@ -177,3 +177,29 @@ def test_generation_equals_a_plain_loop(spark, top_p):
         first = len(dict(prompts)[r["prompt_id"]])
         assert r["n_new"] == len(r["ids"]) - first <= 12
         assert 5 not in r["ids"][first:]
+
+
+@pytest.mark.parametrize("top_p", [0.5, 0.9, 1.0])
+def test_smoothed_generation_equals_the_whole_vocabulary(spark, top_p):
+    rows = [(0, [0, 1, 0, 1, 4, 0, 1]), (1, [4, 5, 4, 5, 0]), (2, [1, 1, 1])]
+    size = 9  # 2, 3, 6, 7 and 8 are never seen
+    table = nexttoken.next_token_table(spark.createDataFrame(rows, "doc_id long, ids array<int>"), smoothing=0.5)
+    counts = {(r["context"][0], r["next"]): r["cnt"] for r in table.collect()}
+    whole = [([a], b, math.log(counts.get((a, b), 0) + 0.5)) for a in range(size) for b in range(size)]
+    full = generate.sampler_table(spark.createDataFrame(whole, "context array<int>, next int, logit double"), 0.8, top_p)
+    short = generate.smoothed_sampler(table, size, 0.8, top_p, 0.5)
+    prompts = [(i, [i % size]) for i in range(60)] + [(900, [])]
+    asked = spark.createDataFrame(prompts, "prompt_id long, ids array<int>")
+    want, got = (
+        {r["prompt_id"]: (r["ids"], r["n_new"]) for r in generate.generate_batch(asked, s, 10, seed=5, end_id=7, steps_per_table=4).collect()}
+        for s in (full, short)
+    )
+    assert got == want and got[900] == ([], 0)
+    drawn = {(a, b) for ids, _ in got.values() for a, b in zip(ids, ids[1:])}
+    assert drawn - set(counts)
+
+
+def test_smoothed_sampler_refuses_ids_outside_the_vocabulary(spark):
+    table = nexttoken.next_token_table(spark.createDataFrame([(0, [0, 5])], "doc_id long, ids array<int>"))
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        generate.smoothed_sampler(table, 5).collect()
