@@ -7,6 +7,11 @@ perturbations of least summed squared distance to the slot borders come first,
 in a sequence that depends on expected distances only.  What the buckets of
 all tables hold is measured exactly and the nearest are merged.
 
+The width of a slot follows the distances of the data: it is ``SLOT`` times the
+distance of the last neighbour asked for, as measured for ``SAMPLE`` queries.
+In how many tables a query's neighbours were met tells how many were not met in
+any; queries for which that leaves less than ``RECALL`` are measured against all.
+
 Equal vectors are searched once: a class of them stands in the index with its
 smallest id.  Buckets of more than ``FULL`` classes are dealt over several
 blocks, each of which their probes visit.
@@ -28,7 +33,12 @@ from pairloom.session import settle
 
 TABLES = 10
 HASHES = 8
-WIDTH = 2.0
+#: Width of a slot in distances of the k-th neighbour, queries this distance is measured for, and the share of them within it.
+SLOT = 1.9
+SAMPLE = 64
+WITHIN = 0.75
+#: Recall below which a query goes to the exact way.
+RECALL = 0.9
 PROBES = 60
 SEED = 5
 #: Index rows in a block, and classes of one bucket that stay together.
@@ -100,6 +110,11 @@ def distances(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", apart, apart))
 
 
+def hits_needed(tables: int, recall: float = RECALL) -> float:
+    """Mean number of tables that met a found neighbour at which ``recall`` of all are found (binomial without its zeros)."""
+    return tables * (1 - (1 - recall) ** (1 / tables)) / recall
+
+
 def usable(vector: Column) -> Column:
     """Not null, not all zero, no null or non-finite component."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
@@ -121,7 +136,7 @@ def classes(vectors: DataFrame, k: int, id_column: str = "vec_id", vector_column
 
 def nearest(
     vectors: DataFrame, k: int = 10, is_query: Column | None = None, id_column: str = "vec_id", vector_column: str = "embedding",
-    tables: int = TABLES, hashes: int = HASHES, width: float = WIDTH, probes: int = PROBES, seed: int = SEED,
+    tables: int = TABLES, hashes: int = HASHES, width: float | None = None, probes: int = PROBES, seed: int = SEED,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of every query, nearest first, ties to the smaller id.
 
@@ -130,7 +145,8 @@ def nearest(
     zero, of another length than most or hold null or non-finite components take
     no part; rows without id neither.  A repeated id counts as one more copy.
     The search is approximate only in which vectors it looks at; a query whose
-    buckets hold too few is measured against all.
+    buckets hold too few, or meet its neighbours in too few tables, is measured against all.
+    ``width`` is fitted to the data if not given.
     """
     is_query = F.lit(True) if is_query is None else is_query
     known, _ = settle(classes(vectors, k, id_column, vector_column), "classes")
@@ -142,6 +158,30 @@ def nearest(
     queries, _ = settle(asked.join(reps, "v").select("query_id", "rep"), "queries")
     searched = reps.join(queries.select("rep").distinct(), "rep", "left_semi")
 
+    n_all = max(1, -(-reps.count() // BLOCK))
+
+    def exactly(some: DataFrame) -> DataFrame:
+        """``(query_rep, rep, score)``: the nearest of each block of all classes."""
+        everywhere = reps.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(n_all)).cast("int"))
+        asked_all = some.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_all - 1))))
+        return everywhere.groupBy("block").cogroup(asked_all.groupBy("block")).applyInPandas(measure, "query_rep long, rep long, score double")
+
+    def measure(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query_rep": [], "rep": [], "score": []})]
+        matrix, ids = np.stack(held["v"].to_numpy()) if len(held) else None, held["rep"].to_numpy()
+        for query, vector in zip(asking["rep"], asking["v"], strict=True) if len(held) else ():
+            apart = np.concatenate([distances(vector, matrix[i : i + CHUNK]) for i in range(0, len(ids), CHUNK)])
+            best = np.lexsort((ids, apart))[: k + 1]
+            out.append(pd.DataFrame({"query_rep": query, "rep": ids[best], "score": apart[best]}))
+        return pd.concat(out)
+
+    if width is None:
+        drawn, _ = settle(searched.orderBy(F.xxhash64(F.lit(seed), "rep"), "rep").limit(SAMPLE), "drawn")
+        firsts = exactly(drawn).groupBy("query_rep").agg(F.slice(F.sort_array(F.collect_list("score")), 1, k + 1).alias("near"))
+        last = [r["last"] for r in firsts.select(F.array_max("near").alias("last")).collect()]
+        last = [x for x in last if 0 < x < float("inf")]
+        width = SLOT * float(np.quantile(last, WITHIN)) if last else 1.0
+
     def keyed(extra: int):
         def make():
             def work(batch: pa.RecordBatch) -> dict:
@@ -170,7 +210,7 @@ def nearest(
 
     def search(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         if not len(held) or not len(asking):
-            return pd.DataFrame({"query_rep": [], "rep": [], "score": []})
+            return pd.DataFrame({"query_rep": [], "rep": [], "score": [], "hits": []})
         order = np.argsort(held["key"].to_numpy(), kind="stable")
         keys, ids = held["key"].to_numpy()[order], held["rep"].to_numpy()[order]
         matrix = np.stack(held["v"].to_numpy())[order]
@@ -182,36 +222,28 @@ def nearest(
             if not hit.any():
                 continue
             rows = np.concatenate([np.arange(a, b) for a, b in zip(low[hit], high[hit], strict=True)])
-            found, first = np.unique(ids[rows], return_index=True)
+            found, first, hits = np.unique(ids[rows], return_index=True, return_counts=True)
             rows = rows[first]
             apart = np.concatenate([distances(vector, matrix[rows[i : i + CHUNK]]) for i in range(0, len(rows), CHUNK)])
             best = np.lexsort((found, apart))[: k + 1]
-            out.append(pd.DataFrame({"query_rep": query, "rep": found[best], "score": apart[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_rep": [], "rep": [], "score": []})
-
-    found = stored.groupBy("block").cogroup(visits.groupBy("block")).applyInPandas(search, "query_rep long, rep long, score double")
-    found, _ = settle(found, "found")
-    # queries whose buckets hold fewer classes than are to be returned are measured against every block
-    seen = found.groupBy(F.col("query_rep").alias("rep")).agg(F.count_distinct(found["rep"]).alias("n"))
+            out.append(pd.DataFrame({"query_rep": query, "rep": found[best], "score": apart[best], "hits": hits[best]}))
+        return pd.concat(out) if out else pd.DataFrame({"query_rep": [], "rep": [], "score": [], "hits": []})
+
+    met = stored.groupBy("block").cogroup(visits.groupBy("block")).applyInPandas(search, "query_rep long, rep long, score double, hits long")
+    # a class among the nearest of all blocks is among those of each block that holds it, so its hits are complete
+    met = met.groupBy("query_rep", "rep").agg(F.min("score").alias("score"), F.sum("hits").alias("hits"))
+    best = met.withColumn("n", F.row_number().over(Window.partitionBy("query_rep").orderBy("score", "rep"))).filter(F.col("n") <= k + 1)
+    found, _ = settle(best.drop("n"), "found")
+    # queries whose buckets hold fewer classes than are to be returned, or meet too few, are measured against every block
+    others = F.when(F.col("rep") != F.col("query_rep"), F.col("hits"))
+    seen = found.groupBy("query_rep").agg(F.count(F.lit(1)).alias("n"), F.avg(others).alias("hits")).withColumnRenamed("query_rep", "rep")
     enough = min(k + 1, reps.count())
-    short = searched.join(seen, "rep", "left").filter(F.coalesce("n", F.lit(0)) < enough).select("rep", "v")
-    short, _ = settle(short, "short")
+    few = (F.coalesce("n", F.lit(0)) < enough) | (F.col("hits") < hits_needed(tables))
+    short, _ = settle(searched.join(seen, "rep", "left").filter(few).select("rep", "v"), "short")
+    found = found.drop("hits")
     if not short.isEmpty():
-        n_all = max(1, -(-reps.count() // BLOCK))
-        everywhere = reps.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(n_all)).cast("int"))
-        asked_all = short.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_all - 1))))
-
-        def measure(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-            out = [pd.DataFrame({"query_rep": [], "rep": [], "score": []})]
-            matrix, ids = np.stack(held["v"].to_numpy()) if len(held) else None, held["rep"].to_numpy()
-            for query, vector in zip(asking["rep"], asking["v"], strict=True) if len(held) else ():
-                apart = np.concatenate([distances(vector, matrix[i : i + CHUNK]) for i in range(0, len(ids), CHUNK)])
-                best = np.lexsort((ids, apart))[: k + 1]
-                out.append(pd.DataFrame({"query_rep": query, "rep": ids[best], "score": apart[best]}))
-            return pd.concat(out)
-
-        more = everywhere.groupBy("block").cogroup(asked_all.groupBy("block")).applyInPandas(measure, "query_rep long, rep long, score double")
-        found = found.unionByName(more)
+        met = found.join(short.select(F.col("rep").alias("query_rep")), "query_rep", "left_anti")
+        found = met.unionByName(exactly(short))
     # a query's own class is asked for too: its copies are neighbours
     merged = found.distinct().withColumn("n", F.row_number().over(Window.partitionBy("query_rep").orderBy("score", "rep")))
     members = known.groupBy("rep").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))  # k + 1 ids at most
