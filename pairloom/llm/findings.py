@@ -1,10 +1,13 @@
 """Secrets in texts: candidates by shape, false positives removed by a random forest.
 
-A candidate is a long run of key characters.  The forest looks at its length,
+A candidate is a long run of key characters, a value given to a secret's name,
+what follows ``Bearer`` or a key block.  The forest looks at its length,
 at how usual its character transitions are, how much of it words of the
-dictionary cover, at the path of the text and at the neighbouring words.  It is
-trained from labelled findings; dictionary and transitions come from the texts
-of the same bounded sample.
+dictionary cover, at the path of the text and at the neighbouring words.
+Dictionary and transitions come from all texts.  The forest is trained from
+bounded hash samples of the findings of all texts that rules label true and
+false, and from made-up cases of every form, so that it knows those that a
+table holds rarely or not at all.
 """
 
 from __future__ import annotations
@@ -12,26 +15,40 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import kind_of, map_batches, unit_hash
+from pairloom.llm.common import kind_of, map_batches
+from pairloom.session import settle
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----[A-Za-z0-9+/=\s:,.-]*?(?:-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----|\Z|(?=[^A-Za-z0-9+/=\s:,.-]))")
+BEARER = re.compile(r"\b(?:bearer|basic)[ \t]+([A-Za-z0-9+/_.~-]{12,}={0,2})", re.IGNORECASE)
+ASSIGNED = re.compile(
+    r"(?:key|token|secret|passw|pwd|auth|credential)\w{0,24}[\"'`]?[ \t]{0,8}(?:=>|:=|[:=])[ \t]{0,8}(?:\"([^\"\s]{6,})\"|'([^'\s]{6,})'|`([^`\s]{6,})`|([^\s\"'`,;<>()\[\]{}]{6,}))",
+    re.IGNORECASE,
+)
+#: What keys of well-known providers look like.
+KNOWN = re.compile(
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_\w{22,}|sk-[A-Za-z0-9_-]{20,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}"
+    r"|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[\w-]{35}|glpat-[\w-]{20,}|npm_[A-Za-z0-9]{30,}|hf_[A-Za-z0-9]{30,}|eyJ[\w-]{8,}\.[\w-]{8,}(?:\.[\w-]*)?)"
+)
 NAMES = re.compile(r"key|token|secret|passw|pwd|auth|credential|bearer", re.IGNORECASE)
 PATHS = re.compile(r"env|conf|cred|secret|key|\.pem|\.ya?ml|\.ini|\.json", re.IGNORECASE)
+BEARER_BEFORE = re.compile(r"\b(?:bearer|basic)[ \t]+\Z", re.IGNORECASE)
 WORD = re.compile(r"[A-Za-z]{3,}")
 HEX = re.compile(r"[0-9a-fA-F]+\Z")
 #: Characters looked at before and after a candidate.
 NEAR = 40
-#: Texts drawn for training, labelled findings used, dictionary words kept.
-SAMPLE = 4000
-FINDINGS = 20_000
+#: Labelled findings used of each class, made-up cases of each form, dictionary words kept.
+FINDINGS = 10_000
+MADE_UP = 150
 DICTIONARY = 20_000
 TREES, DEPTH, LEAF, CUTS = 25, 8, 3, 16
 SEED = 3
@@ -74,6 +91,27 @@ def learn_language(words: Counter, most: int = DICTIONARY) -> Language:
     return Language(frozenset(kept), {p: float(np.log(n / total)) for p, n in pairs.items()})
 
 
+def spans(text: str | None) -> list[tuple[int, int]]:
+    """Places of the candidates from the left; where shapes overlap, blocks come first and plain runs last."""
+    if not text:
+        return []
+    found: list[tuple[int, int]] = []
+    taken = bytearray(len(text))
+    for shape in (BLOCK, KNOWN, BEARER, ASSIGNED, CANDIDATE):
+        for m in shape.finditer(text):
+            start, end = m.span(m.lastindex or 0)
+            if not any(taken[start:end]):
+                taken[start:end] = b"\1" * (end - start)
+                found.append((start, end))
+    return sorted(found)
+
+
+def entropy(value: str) -> float:
+    """Bits a character."""
+    n = len(value)
+    return -sum(c / n * np.log2(c / n) for c in Counter(value).values())
+
+
 def features(text: str, start: int, end: int, path: str, language: Language) -> list[float]:
     value = text[start:end]
     before, after = text[max(0, start - NEAR) : start], text[end : end + NEAR]
@@ -97,12 +135,64 @@ def features(text: str, start: int, end: int, path: str, language: Language) ->
         sum(w.lower() in language.words for w in WORD.findall(before + " " + after)),
         float(PATHS.search(path) is not None),
         path.count("/"),
+        entropy(value),
+        float(KNOWN.fullmatch(value) is not None),
+        float(value.startswith("-----BEGIN ")),
+        float(BEARER_BEFORE.search(before) is not None),
     ]
 
 
 def rule_label(row: list[float]) -> bool:
-    """Stands in for an analyst: a named, assigned, quoted value of mixed characters that no words cover."""
-    return row[9] == 1 and row[10] == 1 and row[11] == 1 and row[1] > 0 and row[4] >= 0.15 and row[7] < 0.6
+    """Stands in for an analyst: any one of several rules that do not need each other.
+
+    A key block; a known provider's key; a header's value of mixed characters; a named and assigned value of mixed
+    characters, quoted or not; a long value of mixed characters and high entropy that is named shortly before.
+    """
+    mixed = row[1] > 0 and row[7] < 0.6 and (row[4] >= 0.15 or row[16] >= 3.0)
+    if row[18] or row[17] and row[1] > 0 and row[16] >= 2.5:
+        return True
+    if row[19] and mixed:
+        return True
+    if row[9] and row[10] and mixed and (row[16] >= 2.5 or row[11] == 1):
+        return True
+    return bool(row[9] and mixed and row[0] >= 20 and row[16] >= 3.2)
+
+
+def made_up(language: Language, seed: int = SEED) -> list[tuple[list[float], bool]]:
+    """Features of cases of every form, secret or not, that no text has to hold."""
+    draw = np.random.default_rng([seed, 1])
+    words = sorted(language.words)[:2000] or ["the", "value", "house", "other", "some", "text"]
+    hexes, mixed, plain = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+    def some(kind: str, low: int, high: int) -> str:
+        return "".join(kind[i] for i in draw.integers(0, len(kind), draw.integers(low, high + 1)))
+
+    def prose(n: int, by: str = " ") -> str:
+        return by.join(words[i] for i in draw.integers(0, len(words), n))
+
+    def pick(*of: str) -> str:
+        return of[draw.integers(0, len(of))]
+
+    forms = (
+        (True, lambda: (pick("key", "token = ", "api_key: ", "password=").rstrip("=: ") + pick(" = ", "=", ": "), pick(some(hexes, 32, 64), some(mixed, 16, 48)), '"')),
+        (True, lambda: (pick("API_KEY=", "SECRET_TOKEN=", "DB_PASSWORD=", "auth_token: ", "password: "), pick(some(mixed, 16, 48), some(hexes, 24, 64)), "")),
+        (True, lambda: (pick("password = ", "passwd: ", "pwd=", "PASSWORD="), some(mixed + "!#$%&*?@", 7, 7) + some("0123456789", 1, 8), pick('"', "'", ""))),
+        (True, lambda: (pick("Authorization: Bearer ", "authorization: Basic ", "bearer "), pick(some(mixed, 20, 60), some(hexes, 32, 64)) + some("0123456789", 1, 1), "")),
+        (True, lambda: (prose(3) + " ", pick("AKIA" + some(plain, 16, 16), "ghp_" + some(mixed, 36, 36), "sk_live_" + some(mixed, 24, 24), "sk-" + some(mixed, 40, 48), "AIza" + some(mixed, 35, 35), "xoxb-" + some(mixed, 24, 40), "glpat-" + some(mixed, 20, 20)), "")),
+        (True, lambda: (prose(3) + "\n", f"-----BEGIN {pick('', 'RSA ', 'EC ', 'OPENSSH ')}PRIVATE KEY-----\n{some(mixed, 64, 900)}\n-----END PRIVATE KEY-----", "")),
+        (False, lambda: (prose(4) + " ", pick(some(hexes, 32, 64), some(hexes, 40, 40)), "")),
+        (False, lambda: (prose(4) + pick(" ", " (", "/"), pick(prose(4, "-"), prose(3, "_"), prose(4, "/")) + "-more-words-here", "")),
+        (False, lambda: (pick("key = ", "token: ", "password: ", "auth="), pick(prose(3, "_"), prose(2, "-"), "required", "changeme", "optional"), pick('"', ""))),
+        (False, lambda: (prose(4) + " ", pick("x", "-", "_", "=a") * int(draw.integers(16, 60)), "")),
+    )
+    out = []
+    for secret, form in forms:
+        for _ in range(MADE_UP):
+            lead, value, quote = form()
+            text = f"{prose(6)} {lead}{quote}{value}{quote} {prose(6)}"
+            start = text.index(lead + quote + value) + len(lead + quote)
+            out.append((features(text, start, start + len(value), "", language), secret))
+    return out
 
 
 class Forest:
@@ -164,24 +254,45 @@ class Detector:
 
     def find(self, text: str | None, path: str | None) -> list[tuple[int, int, float]]:
         """``(start, end, score)`` of every candidate."""
-        spans = [m.span() for m in CANDIDATE.finditer(text)] if text else []
-        if not spans:
+        found = spans(text)
+        if not found:
             return []
-        rows = np.array([features(text, a, b, path or "", self.language) for a, b in spans])
-        return [(a, b, float(s)) for (a, b), s in zip(spans, self.forest.predict(rows), strict=True)]
+        rows = np.array([features(text, a, b, path or "", self.language) for a, b in found])
+        return [(a, b, float(s)) for (a, b), s in zip(found, self.forest.predict(rows), strict=True)]
+
+
+def labelled(docs: DataFrame, language: Language, label: Callable[[list[float]], bool], most: int, seed: int) -> DataFrame:
+    """``(secret, place, row)``: of each class and task the ``most`` findings of smallest hash; equal surroundings count once."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[bool, dict[int, list[float]]] = {False: {}, True: {}}
+        for batch in batches:
+            for text, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for start, end in spans(text):
+                    near = text[max(0, start - NEAR) : end + NEAR]
+                    place = xxhash.xxh64_intdigest(near.encode("utf-8"), seed) >> 1
+                    row = features(text, start, end, path or "", language)
+                    own = kept[bool(label(row))]
+                    own[place] = row
+                    if len(own) >= 2 * most:
+                        for far in sorted(own)[most:]:
+                            del own[far]
+        for secret, own in kept.items():
+            least = sorted(own)[:most]
+            columns = [pa.array([secret] * len(least), pa.bool_()), pa.array(least, pa.int64()), pa.array([own[k] for k in least], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["secret", "place", "row"])
+
+    return docs.mapInArrow(work, "secret boolean, place long, row array<double>")
 
 
 def fit(
-    docs: DataFrame, label: Callable[[list[float]], bool] = rule_label, sample: int = SAMPLE, seed: int = SEED,
+    docs: DataFrame, label: Callable[[list[float]], bool] = rule_label, most: int = FINDINGS, seed: int = SEED,
     id_column: str = "doc_id", text_column: str = "text", path_column: str = "source",
 ) -> Detector:
-    """Dictionary, transitions and forest from about ``sample`` texts; ``label`` tells the true findings among theirs.
+    """Dictionary and transitions from all texts; forest from at most ``most`` findings of each class among all, by hash.
 
-    No texts, or no candidates in them, give a forest that finds nothing.
+    ``label`` tells the true findings.  Made-up cases (``made_up``) go with them, so neither class is ever empty.
     """
-    total = docs.count()
-    below = int(min(1.0, sample / max(1, total)) * (1 << 60))
-    drawn = docs.filter(unit_hash(seed, id_column, F.xxhash64(text_column)) <= below).select(text_column, path_column).limit(2 * sample)
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
@@ -192,25 +303,16 @@ def fit(
 
         return work
 
-    seen = map_batches(drawn.select(text_column), make, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    seen = map_batches(docs.select(text_column), make, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     words = seen.filter("n > 1").orderBy(F.desc("n"), "word").limit(5 * DICTIONARY).collect()
     language = learn_language(Counter({r["word"]: r["n"] for r in words}))
-
-    def make_rows():
-        def work(batch: pa.RecordBatch) -> dict:
-            rows = [
-                features(t, *m.span(), p or "", language)
-                for t, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for m in CANDIDATE.finditer(t or "")
-            ]
-            return {"row": rows}
-
-        return work
-
-    rows = [r["row"] for r in map_batches(drawn, make_rows, "row array<double>").limit(FINDINGS).collect()]
-    rows.sort()
-    x = np.array(rows) if rows else np.zeros((0, 1))
-    return Detector(language, Forest(seed).fit(x, np.array([label(r) for r in rows])))
+    found, _ = settle(labelled(docs.select(text_column, path_column), language, label, most, seed), "findings")
+    cases = made_up(language, seed)
+    for secret in (False, True):
+        drawn = found.filter(F.col("secret") == secret).groupBy("place").agg(F.min("row").alias("row")).orderBy("place").limit(most).collect()
+        cases += [(r["row"], secret) for r in drawn]
+    cases.sort()
+    return Detector(language, Forest(seed).fit(np.array([c[0] for c in cases]), np.array([c[1] for c in cases])))
 
 
 def scan(docs: DataFrame, detector: Detector, id_column: str = "doc_id", text_column: str = "text", path_column: str = "source") -> DataFrame:
