@@ -37,3 +37,10 @@ def test_joined_words_are_no_keys():
     language = findings.learn_language(findings.Counter({"risk": 5, "adjusted": 5, "return": 5, "measures": 5}))
     for text in ("the risk-adjusted-return-measures of it", "a task-with-many-hyphenated-words here"):
         assert not any(findings.rule_label(findings.features(text, a, b, "", language)) for a, b in findings.spans(text))
+
+
+def test_a_rare_finding_reaches_training(spark):
+    rows = [(k, f"line {k} has joined-words-of-no-interest-{k} in it", "a") for k in range(9000)] + [(9000, FORMS["unquoted"][0], "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select("text", "source")
+    found = findings.labelled(docs, findings.learn_language(findings.Counter()), findings.rule_label, 10, 3).collect()
+    assert sum(r["secret"] for r in found) == 1 and 10 <= sum(not r["secret"] for r in found) <= 10 * docs.rdd.getNumPartitions()
