@@ -165,19 +165,19 @@ def _scorer(shared: Broadcast) -> Scorer:
 
 
 def fit(docs: DataFrame, lang: str = "lang", text: str = "text", sample: int = SAMPLE, order: int = ORDER, seed: int = 17) -> Trees:
-    """Learn from at most ``sample`` texts a language, chosen by hash.
+    """Learn from at most ``sample`` different texts a language, chosen by hash; copies teach once.
 
     Rows without text or language teach nothing; no rows at all give trees
     without languages, which predict ``und``.
     """
     spark = docs.sparkSession
     usable = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and length(text) > 0")
-    kinds = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    kinds = usable.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     sizes = bounded_rows(kinds, MOST_LANGUAGES, "the languages")
-    # a hash below sample / n keeps about twice the sample of each language; the rank then keeps it exactly
+    # a hash below sample / n keeps about twice the sample of each language's different texts; the rank then keeps it exactly
     share = spark.createDataFrame([(r["lang"], min(1.0, 2.0 * sample / r["n"])) for r in sizes], "lang string, share double")
     drawn = usable.join(F.broadcast(share), "lang").withColumn("_hash", unit_hash(seed, F.xxhash64("text")))
-    drawn = drawn.filter(F.col("_hash") <= F.col("share") * float(1 << 60))
+    drawn = drawn.filter(F.col("_hash") <= F.col("share") * float(1 << 60)).dropDuplicates(["lang", "_hash"])
     ranked = drawn.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "text"))).filter(F.col("_rank") <= sample)
     rows = bounded_rows(context_counts(ranked.select("lang", "text"), "lang", "text", order), MOST_NODES, "the context trees")
     return Trees([tuple(r) for r in rows], order)
