@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import findings, language, maxscore, mixing, neighbours, packing, quality, simhash, tokens, warc
+from pairloom.llm import conversations, findings, language, maxscore, mixing, neighbours, packing, quality, simhash, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,11 +135,31 @@ def op10_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     return findings.scan(docs, findings.fit(docs))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults put in by the checksum of their conversation and number."""
+    draw = F.crc32(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))) % 20
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    drawn = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), draw.alias("draw")).filter("draw <> 0")
+    return drawn.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("draw") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("draw") == 1, "").when(F.col("draw") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.array_repeat(F.lit(1), F.when(F.col("draw") == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+def op13_checkpointed_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    turns = table(spark, folder, "conversations")
+    return conversations.Repair(damaged(turns), turns).digests()
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_prefix_tokens, op2_weak_label_quality, op3_budget_tree, op4_revisits, op5_multiprobe, op6_ppm_language, op7_maxscore,
-        op8_histogram_packing, op9_simhash, op10_secret_forest,
+        op8_histogram_packing, op9_simhash, op10_secret_forest, op13_checkpointed_repair,
     )
 }
 
