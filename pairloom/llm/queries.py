@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import conversations, findings, language, maxscore, mixing, neighbours, packing, quality, simhash, tokens, warc
+from pairloom.llm import conversations, findings, language, maxscore, mixing, neighbours, packing, quality, simhash, spelling, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,6 +135,12 @@ def op10_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     return findings.scan(docs, findings.fit(docs))
 
 
+def op12_spelling_machines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every frequent word of all documents with the word it is a variant of."""
+    runs = spelling.mistyped_runs(table(spark, folder, "documents"))
+    return spelling.variants(spelling.vocabulary(runs))
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Turns with faults put in by the checksum of their conversation and number."""
     draw = F.crc32(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))) % 20
@@ -159,11 +165,64 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_prefix_tokens, op2_weak_label_quality, op3_budget_tree, op4_revisits, op5_multiprobe, op6_ppm_language, op7_maxscore,
-        op8_histogram_packing, op9_simhash, op10_secret_forest, op13_checkpointed_repair,
+        op8_histogram_packing, op9_simhash, op10_secret_forest, op12_spelling_machines, op13_checkpointed_repair,
     )
 }
 
+#: SQL without a checksum function: a list of bytes, folded over the 256 steps of the polynomial.
+CRC32 = """
+    crc_steps AS (
+        SELECT list(step ORDER BY i) AS steps FROM (
+            SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS step
+            FROM range(256) r(i)
+        )
+    )"""
+
+
+def crc32_of(octets: str) -> str:
+    fold = f"list_reduce(list_concat([4294967295::BIGINT], {octets}), lambda c, b: xor(c >> 8, steps[xor(c, b) & 255 + 1]))"
+    return f"xor({fold}, 4294967295)"
+
+
 ORACLE: dict[str, str] = {
+    "op12_spelling_machines": f"""
+        WITH RECURSIVE {CRC32},
+        runs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run
+            FROM documents
+        ),
+        per_doc AS (SELECT id, run, count(*) AS times FROM runs GROUP BY ALL),
+        octets AS (
+            SELECT run, times, flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN ord(c) < 128
+                THEN [ord(c)::BIGINT] ELSE [192::BIGINT + (ord(c) >> 6), 128::BIGINT + (ord(c) & 63)] END)) AS octets
+            FROM per_doc
+        ),
+        drawn AS (SELECT run, times, {crc32_of("octets")} AS h FROM octets, crc_steps),
+        words AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+                ELSE run END AS word, times
+            FROM drawn
+        ),
+        vocab AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+        shorter AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS cut FROM vocab, range(1, 100000) r(p) WHERE p <= length(word)),
+        pairs AS (
+            SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.cut = b.cut AND a.p = b.p AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM shorter a JOIN vocab b ON a.cut = b.word
+            UNION SELECT b.word, a.word, a.n FROM shorter a JOIN vocab b ON a.cut = b.word
+        ),
+        best AS (SELECT word, count(*) AS n_near, max(near_n) AS most FROM pairs GROUP BY word),
+        chosen AS (SELECT word, n_near, most, min(near) AS near FROM best JOIN pairs USING (word) WHERE near_n = most GROUP BY ALL),
+        forms AS (
+            SELECT v.word, CASE WHEN most >= 5 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN most END AS form_n
+            FROM vocab v LEFT JOIN chosen USING (word)
+        ),
+        roots AS (
+            SELECT word, word AS root FROM forms WHERE form IS NULL
+            UNION ALL SELECT f.word, r.root FROM forms f JOIN roots r ON f.form = r.word
+        )
+        SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+    """,
     "op7_maxscore": """
         WITH w AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS w FROM embeddings),
         s AS (
