@@ -180,7 +180,7 @@ CRC32 = """
 
 
 def crc32_of(octets: str) -> str:
-    fold = f"list_reduce(list_concat([4294967295::BIGINT], {octets}), lambda c, b: xor(c >> 8, steps[xor(c, b) & 255 + 1]))"
+    fold = f"list_reduce(list_concat([4294967295::BIGINT], {octets}), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))"
     return f"xor({fold}, 4294967295)"
 
 
