@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import conversations, findings, language, maxscore, mixing, neighbours, packing, quality, simhash, spelling, tokens, warc
+from pairloom.llm import conversations, findings, language, maxscore, mixing, neighbours, packing, personal, quality, simhash, spelling, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,6 +135,13 @@ def op10_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     return findings.scan(docs, findings.fit(docs))
 
 
+def op11_bootstrapped_private(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the seeds, and all spans."""
+    found = personal.find_private(table(spark, folder, "documents"))
+    counts = [personal.count_of("seeds", k).alias(f"n_{k}") for k in personal.KINDS]
+    return found.select("doc_id", *counts, F.sha2(personal.shown(F.col("seeds")), 256).alias("base_sha256"), personal.shown(F.col("spans")).alias("spans"))
+
+
 def op12_spelling_machines(spark: SparkSession, folder: str) -> DataFrame:
     """Every frequent word of all documents with the word it is a variant of."""
     runs = spelling.mistyped_runs(table(spark, folder, "documents"))
@@ -165,7 +172,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_prefix_tokens, op2_weak_label_quality, op3_budget_tree, op4_revisits, op5_multiprobe, op6_ppm_language, op7_maxscore,
-        op8_histogram_packing, op9_simhash, op10_secret_forest, op12_spelling_machines, op13_checkpointed_repair,
+        op8_histogram_packing, op9_simhash, op10_secret_forest, op11_bootstrapped_private, op12_spelling_machines, op13_checkpointed_repair,
     )
 }
 
