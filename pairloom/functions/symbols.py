@@ -44,17 +44,27 @@ def neighbours(seq: Column, width: int = 2) -> Column:
     return F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{width}}}))."), F.lit(1))
 
 
-def holds_any(seq: Column, pairs: Iterable[str]) -> Column:
-    """Whether the word holds one of the pairs, found in one pass over it.
+def _any_of(pairs: Iterable[str]) -> Column:
+    """Pattern that finds any of the pairs.
 
-    ``regexp_instr`` keeps the pattern out of the generated code (``rlike``
-    writes it in), so that rounds with other pairs reuse the compiled classes.
+    Regular expression functions that take the pattern as a column keep it out of
+    the generated code (``rlike`` writes it in), so that rounds with other
+    pairs reuse the compiled classes.
     """
     seconds: dict[str, str] = {}
     for left, right in pairs:
         seconds[left] = seconds.get(left, "") + rf"\x{{{ord(right):x}}}"
-    pattern = "|".join(rf"\x{{{ord(left):x}}}[{rights}]" for left, rights in seconds.items())
-    return F.regexp_instr(seq, F.lit(pattern)) > 0
+    return F.lit("|".join(rf"\x{{{ord(left):x}}}[{rights}]" for left, rights in seconds.items()))
+
+
+def holds_any(seq: Column, pairs: Iterable[str]) -> Column:
+    """Whether the word holds one of the pairs, found in one pass over it."""
+    return F.regexp_instr(seq, _any_of(pairs)) > 0
+
+
+def first_of(seq: Column, pairs: Iterable[str]) -> Column:
+    """The pair of the list that comes first in the word, or null."""
+    return F.regexp_substr(seq, _any_of(pairs))
 
 
 class Alphabet:

@@ -5,40 +5,57 @@ provably give the same merge list as one merge at a time would.
 
 State:
 
-* ``words`` - distinct words with more than one symbol, ``(old_seq, seq, cnt)``:
-  the word before and after the last round;
-* ``pairs`` - written counts of the pairs at or above ``floor``.
-
-A round replaces its merges in ``words`` and adds what changed to ``pairs``,
-which is written anew each time; it is small next to the words.  All words are
-counted only when ``floor`` is lowered.  The words are cached, and written
-every few rounds, so plans stay short and a lost executor costs a few rounds.
+* ``words`` - a written table of the distinct words with more than one symbol,
+  ``(seq, cnt)``, as they were a number of rounds ago ("base words");
+* ``since`` - the merges learned after that table was written;
+* an inverted index over the base words, ``(rank, pair, seq, cnt)``: each word
+  under each of its tracked pairs, sorted by the pair's rank and cached;
+* the tracked pairs with their present counts, the greatest of all pairs and at
+  most ``MOST_TRACKED``, in the driver.
+
+A pair with new symbols stands in words that hold every pair of neighbours of its
+symbols' parts among the base symbols.  So a round looks its pairs up under the
+rarest such base pair, brings the words found there up to date by the merges
+since, and goes no further: batches of the cached index whose ranks are not
+asked for are skipped by their statistics.  All words are read only when they
+are written anew, which cuts the lineage and starts a new index, and when the
+tracked pairs run dry.  With a state folder, the words in a saved state are that
+table; they are written once.
 
 Counts of existing pairs only fall, and a new pair starts with its full count,
-so a pair below ``floor`` never comes back above it.  (A merge whose bytes are
-already a symbol is the exception and forces a full count.)
+so a pair below the cutoff of the tracked ones never comes back above it.  (A merge
+whose bytes are already a symbol is the exception and forces a full count.)
 
-The driver holds the merge list and at most ``MOST_CANDIDATES`` pairs per round.
+The driver holds the merge list, the tracked pairs, and what stands next to at
+most ``MOST_CANDIDATES`` pairs per round.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import heapq
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.functions.symbols import Alphabet, holds_any, neighbours, string_array
+from pairloom.functions.symbols import Alphabet, first_of, holds_any, neighbours, string_array
 from pairloom.operators.counts import packed_pairs, to_byte_symbols, with_sides
 from pairloom.operators.merges import PackedMerge, replace_all, signed_pairs
 from pairloom.operators.vocab import BYTE_TOKENS, merged_vocab, merges_table
-from pairloom.session import drop_scratch, settle
+from pairloom.session import bounded_rows, drop_scratch, settle
 from pairloom.sources import states
 
 FEWEST_CANDIDATES, MOST_CANDIDATES = 32, 256  # pairs looked at per round
-ROUNDS_PER_TABLE = 8  # rounds between two written word tables
-PAIRS_KEPT = 5_000  # at least so many pairs lie at or above the floor
+ROUNDS_PER_TABLE = 32  # rounds, and merges, between two written word tables
+MERGES_PER_TABLE = 256
+PAIRS_KEPT = 5_000  # so many pairs at least are tracked from a full count on
+MOST_PAIRS = 1 << 15  # and so many at most
+MOST_TRACKED = 2 * MOST_PAIRS  # pairs that are tracked before the lowest are let go
+MOST_RANGES = 8  # ranges of ranks that one round asks the index for
+
+Key = tuple[int, bytes, bytes]
 
 
 @dataclass(frozen=True)
@@ -53,7 +70,7 @@ class Candidate:
         return self.left + self.right
 
     @property
-    def key(self) -> tuple[int, bytes, bytes]:
+    def key(self) -> Key:
         """Order of choice: greatest count, then greatest pair."""
         return self.cnt, self.left, self.right
 
@@ -191,12 +208,12 @@ def choose_batch(
     return chosen
 
 
-def choose_floor(pairs: DataFrame) -> int:
-    """Greatest power of two with at least ``PAIRS_KEPT`` pairs at or above it.
+def choose_floor(pairs: DataFrame) -> tuple[int, int]:
+    """Greatest power of two with at least ``PAIRS_KEPT`` pairs at or above it, and how many there are.
 
     Reads one row per power of two, so at most 63.
     """
-    power = F.floor(F.log2("cnt")).cast("int")
+    power = F.length(F.bin("cnt")) - 1
     sizes = {
         r["power"]: r["n"]
         for r in pairs.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -204,76 +221,168 @@ def choose_floor(pairs: DataFrame) -> int:
     kept = 0
     for step in sorted(sizes, reverse=True):
         kept += sizes[step]
-        # log2 may round up to the next power, so stay one below
         if kept >= PAIRS_KEPT:
-            return max(1, 1 << max(step - 1, 0))
-    return 1
+            return 1 << step, kept
+    return 1, kept
+
+
+class _Tracked:
+    """The greatest pairs in order of choice; every other pair is below ``cutoff``."""
+
+    def __init__(self, pairs: DataFrame, alphabet: Alphabet) -> None:
+        self.alphabet = alphabet
+        pairs = pairs.persist()
+        floor, above = choose_floor(pairs)
+        rows = pairs.filter(F.col("cnt") >= floor)
+        self.complete = floor == 1 and above <= MOST_PAIRS
+        self.cutoff: Key = (floor, b"", b"")
+        if above > MOST_PAIRS:
+            # many equal counts: the order of choice decides, in a written table, as a
+            # collected limit would send so many rows of every task to the driver
+            sides = with_sides(rows, alphabet, "pair", "cnt")
+            rows, path = settle(sides.orderBy(F.desc("cnt"), F.desc("l"), F.desc("r")).limit(MOST_PAIRS), "pairs")
+        self.counts: dict[str, int] = {r["pair"]: r["cnt"] for r in bounded_rows(rows.select("pair", "cnt"), MOST_PAIRS, "tracked pairs")}
+        if above > MOST_PAIRS:
+            self.cutoff = min(self.key(p) for p in self.counts)
+            drop_scratch(pairs.sparkSession, path)
+        pairs.unpersist()
+
+    def key(self, pair: str) -> Key:
+        return self.counts[pair], self.alphabet.bytes_of(pair[0]), self.alphabet.bytes_of(pair[1])
+
+    def best(self, k: int) -> list[Candidate]:
+        ranked = heapq.nlargest(k, self.counts, key=self.key)
+        found = [self.key(p) + (p,) for p in ranked]
+        return [Candidate(left, right, pair, cnt) for cnt, left, right, pair in found]
+
+    def beside(self, merges: Sequence[PackedMerge]) -> list[str]:
+        """Tracked pairs that may lose occurrences to the merges."""
+        lefts, rights = {m.pair[0] for m in merges}, {m.pair[1] for m in merges}
+        return [p for p in self.counts if p[1] in lefts or p[0] in rights or p[0] in lefts and p[1] in rights]
+
+    def change(self, deltas: Mapping[str, int]) -> None:
+        for pair, delta in deltas.items():
+            self.counts[pair] = self.counts.get(pair, 0) + delta
+            if self.counts[pair] <= 0 or self.key(pair) < self.cutoff:
+                del self.counts[pair]
+        if len(self.counts) > MOST_TRACKED:
+            kept = heapq.nlargest(MOST_PAIRS, self.counts, key=self.key)
+            self.cutoff, self.complete = self.key(kept[-1]), False
+            self.counts = {p: self.counts[p] for p in kept}
 
 
 class _Tables:
-    """Word and pair tables of a running training."""
+    """Words, their index and the tracked pairs of a running training."""
 
-    def __init__(self, words: DataFrame, alphabet: Alphabet) -> None:
+    def __init__(self, words: DataFrame, alphabet: Alphabet, written: bool = False) -> None:
         self.spark = words.sparkSession
         self.alphabet = alphabet
-        self.age = 0  # rounds since the words were written
-        self._write_words(words)
-        self._count_pairs()
-
-    def _write_words(self, words: DataFrame) -> None:
-        """Words are spread evenly, as every round's tasks work on these partitions."""
-        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        live = words.filter(F.length("seq") > 1).select("seq", "cnt").repartition(parts, "seq")
-        table, self._words_path = settle(live, "words")
-        self.words = table.select(F.col("seq").alias("old_seq"), "seq", "cnt").persist()
+        self.index: DataFrame | None = None
+        self._scratch: str | None = None
+        if written:  # a saved state's words
+            self.words = words
+        else:
+            # spread evenly, as every round's tasks work on these partitions
+            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            self._write(words.repartition(parts, "seq"), None)
+        self._begin()
+        self.count_again()
+
+    def _write(self, words: DataFrame, path: str | None) -> None:
+        """Write the words that still have a pair, to ``path`` or the shared folder."""
+        live = words.filter(F.length("seq") > 1).select("seq", "cnt")
+        before, self._scratch = self._scratch, None
+        if path is None:
+            self.words, self._scratch = settle(live, "words")
+        else:
+            live.write.mode("overwrite").parquet(path)
+            self.words = self.spark.read.schema(live.schema).parquet(path)
+        if before is not None:
+            drop_scratch(self.spark, before)
+
+    def _begin(self) -> None:
+        self.since: list[PackedMerge] = []
+        self.parts: dict[str, str] = {}  # base symbols that a newer symbol is made of
         self.age = 0
 
-    def _write_pairs(self, pairs: DataFrame) -> None:
-        self.pairs, self._pairs_path = settle(pairs.filter(F.col("cnt") >= self.floor), "pairs")
-
-    def _count_pairs(self) -> None:
-        pairs = packed_pairs(self.words).persist()
-        self.floor = choose_floor(pairs)
-        self._write_pairs(pairs)
-        pairs.unpersist()
-
-    def best(self, k: int) -> list[Candidate]:
-        ranked = with_sides(self.pairs, self.alphabet, "pair", "cnt").orderBy(
-            F.desc("cnt"), F.desc("l"), F.desc("r")
-        )
-        return [
-            Candidate(bytes.fromhex(r["l"]), bytes.fromhex(r["r"]), r["pair"], r["cnt"])
-            for r in ranked.limit(k).collect()
-        ]
+    def _make_index(self) -> None:
+        """Each word under its tracked pairs, in order of rank within every partition; nothing is shuffled.
+
+        Ranks travel in one literal of at most ``MOST_TRACKED`` pairs.
+        """
+        self._forget_index()
+        ranked = sorted(self.tracked.counts, key=self.tracked.key, reverse=True)
+        self.ranks = {pair: rank for rank, pair in enumerate(ranked)}
+        if not ranked:
+            return
+        ranks = self.spark.range(1).select(F.posexplode(string_array(ranked)).alias("rank", "pair"))
+        held = self.words.select(F.explode(F.array_distinct(neighbours(F.col("seq")))).alias("pair"), "seq", "cnt")
+        self.index = held.join(F.broadcast(ranks), "pair").select("rank", "pair", "seq", "cnt").sortWithinPartitions("rank").persist()
+
+    def _forget_index(self) -> None:
+        if self.index is not None:
+            self.index.unpersist()
+        self.index = None
+
+    def _present(self, words: DataFrame) -> DataFrame:
+        return words.withColumn("seq", replace_all(F.col("seq"), self.since))
+
+    def base_pair(self, pair: str) -> str | None:
+        """The rarest base pair that every word with ``pair`` holds, or None if none was tracked."""
+        symbols = "".join(self.parts.get(c, c) for c in pair)
+        known = [p for p in map("".join, zip(symbols, symbols[1:])) if p in self.ranks]
+        return max(known, key=self.ranks.__getitem__, default=None)
+
+    def can_find(self, pairs: Iterable[str]) -> bool:
+        return all(self.base_pair(p) is not None for p in pairs)
+
+    def touched(self, pairs: Iterable[str]) -> DataFrame:
+        """``(seq, cnt)``: the words that may hold one of the pairs, each once and up to date."""
+        wanted = sorted({self.base_pair(p) for p in pairs}, key=self.ranks.__getitem__)
+        asked = reduce(lambda a, b: a | b, (F.col("rank").between(*r) for r in rank_ranges([self.ranks[p] for p in wanted])))
+        # a word may stand under several of the pairs: it counts under the one that comes first in it
+        return self._present(self.index.filter(asked & (first_of(F.col("seq"), wanted) == F.col("pair"))).select("seq", "cnt"))
 
     def merge(self, merges: Sequence[PackedMerge]) -> None:
-        old_words, old_path = self.words, self._pairs_path
-        self.words = old_words.select(
-            F.col("seq").alias("old_seq"), replace_all(F.col("seq"), merges).alias("seq"), "cnt"
-        ).persist()
-        changed = self.pairs.unionByName(signed_pairs(self.words))
-        self._write_pairs(changed.groupBy("pair").agg(F.sum("cnt").alias("cnt")))
-        old_words.unpersist()
-        drop_scratch(self.spark, old_path)
+        """Apply merges to the pair counts; the words follow when they are read."""
+        words = self.touched([m.pair for m in merges])
+        changes = words.select(F.col("seq").alias("old_seq"), replace_all(F.col("seq"), merges).alias("seq"), "cnt")
+        deltas = signed_pairs(changes).groupBy("pair").agg(F.sum("cnt").alias("cnt"))
+        # of the pairs that were there before only the tracked ones come back to the driver,
+        # of the new ones only those that reach the cutoff
+        beside = self.spark.range(1).select(F.explode(string_array(self.tracked.beside(merges))).alias("pair"), F.lit(True).alias("known"))
+        asked = deltas.join(F.broadcast(beside), "pair", "left").filter(F.col("known") | (F.col("cnt") >= self.tracked.cutoff[0]))
+        self.tracked.change({r["pair"]: r["cnt"] for r in asked.select("pair", "cnt").collect()})
+        for m in merges:
+            self.parts[m.result] = "".join(self.parts.get(c, c) for c in m.pair)
+        self.since += merges
         self.age += 1
 
-    def rewrite_words(self) -> None:
-        """Cut the lineage of the words and leave out those without a pair."""
-        old_words, old_path = self.words, self._words_path
-        self._write_words(old_words)
-        old_words.unpersist()
-        drop_scratch(self.spark, old_path)
+    def rewrite_words(self, path: str | None = None) -> None:
+        """Write the words as they are now, which cuts their lineage, and index them."""
+        self._write(self._present(self.words), path)
+        self._begin()
+        self._make_index()
 
     def count_again(self) -> None:
-        """Count the pairs of all words, and choose a new floor."""
-        old_path = self._pairs_path
-        self._count_pairs()
-        drop_scratch(self.spark, old_path)
+        """Count the pairs of all words, choose the tracked ones and index the words under them."""
+        if self.since:
+            self._write(self._present(self.words), None)
+            self._begin()
+        self.tracked = _Tracked(packed_pairs(self.words), self.alphabet)
+        self._make_index()
 
     def close(self) -> None:
-        self.words.unpersist()
-        drop_scratch(self.spark, self._words_path)
-        drop_scratch(self.spark, self._pairs_path)
+        self._forget_index()
+        if self._scratch is not None:
+            drop_scratch(self.spark, self._scratch)
+
+
+def rank_ranges(ranks: Sequence[int], most: int = MOST_RANGES) -> list[tuple[int, int]]:
+    """At most ``most`` ranges that hold all of the sorted ranks, cut at the widest gaps."""
+    gaps = sorted(range(1, len(ranks)), key=lambda i: ranks[i] - ranks[i - 1], reverse=True)[: most - 1]
+    starts = [0, *sorted(gaps)]
+    return [(ranks[a], ranks[b - 1]) for a, b in zip(starts, [*starts[1:], len(ranks)])]
 
 
 def train_bpe(
@@ -302,39 +411,43 @@ def resume_training(
     budget = merge_budget(vocab_size, special_tokens)
     training.merges = [(l, r) for l, r, _ in merges[:budget]]  # a smaller vocabulary is a shorter list
     training.merge_counts = [cnt for _, _, cnt in merges[:budget]]
-    return _run(training, words, vocab_size, state_path)
+    return _run(training, words, vocab_size, state_path, written=True)
 
 
-def _run(training: Training, words: DataFrame, vocab_size: int, state_path: str | None) -> Training:
+def _run(training: Training, words: DataFrame, vocab_size: int, state_path: str | None, written: bool = False) -> Training:
     budget = merge_budget(vocab_size, training.special_tokens)
     if len(training.merges) >= budget:
         return training
     alphabet = Alphabet(l + r for l, r in training.merges)
-    tables = _Tables(words, alphabet)
+    tables = _Tables(words, alphabet, written)
     k = FEWEST_CANDIDATES
-    counted = True  # whether the floor is as low as a full count makes it
+    counted = True  # whether the tracked pairs are as many as a full count makes them
 
     def save() -> None:
-        if state_path is not None:
-            states.write_training_state(
-                tables.words, training.merges, training.merge_counts, state_path, training.special_tokens
-            )
+        """New base words; in a state folder they are the state's."""
+        spark, done = training.spark, len(training.merges)
+        path = None if state_path is None or states.is_complete(spark, state_path, done) else states.words_path(state_path, done)
+        tables.rewrite_words(path)
+        if path is not None:
+            states.complete_state(spark, training.merges, training.merge_counts, state_path, training.special_tokens)
 
     try:
         while len(training.merges) < budget:
-            candidates = tables.best(k)
-            if len(candidates) < k and tables.floor > 1 and not counted:
+            candidates = tables.tracked.best(k)
+            if len(candidates) < k and not tables.tracked.complete and not counted:
                 tables.count_again()  # before the batches run short
                 counted = True
                 continue
             if not candidates:
                 break
+            if not tables.can_find(c.pair for c in candidates):
+                tables.rewrite_words()  # every tracked pair is then one of the index
             batch = choose_batch(
                 candidates,
-                lambda some: surroundings(tables.words, some),
+                lambda some: surroundings(tables.touched([c.pair for c in some]), some),
                 alphabet,
                 budget - len(training.merges),
-                complete=tables.floor == 1 and len(candidates) < k,
+                complete=tables.tracked.complete and len(candidates) < k,
             )
             known_bytes = batch[0].result in alphabet
             tables.merge([PackedMerge(c.pair, alphabet.add(c.result)) for c in batch])
@@ -345,10 +458,10 @@ def _run(training: Training, words: DataFrame, vocab_size: int, state_path: str
             k = min(max(FEWEST_CANDIDATES, 4 * len(batch)), MOST_CANDIDATES)
             if known_bytes:
                 tables.count_again()
-            if tables.age == ROUNDS_PER_TABLE:
-                tables.rewrite_words()
+            if tables.age >= ROUNDS_PER_TABLE or len(tables.since) >= MERGES_PER_TABLE:
                 save()
-        save()
+        if state_path is not None and tables.since:
+            save()
     finally:
         tables.close()
     return training

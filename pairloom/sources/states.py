@@ -14,24 +14,28 @@ STATES_KEPT = 2
 MOST_MERGES = 1 << 22  # the merge list goes through the driver
 
 
-def write_training_state(
-    words: DataFrame,
+def words_path(path: str, n_merges: int) -> str:
+    """Where the words of a state belong; they are written before the state is completed."""
+    return f"{path}/step={n_merges}/words"
+
+
+def is_complete(spark: SparkSession, path: str, n_merges: int) -> bool:
+    return n_merges in _steps(spark, path)
+
+
+def complete_state(
+    spark: SparkSession,
     merges: Sequence[tuple[bytes, bytes]],
     counts: Sequence[int],
     path: str,
     special_tokens: Sequence[str] = (),
 ) -> None:
-    """Write ``path/step=N``; the merges come last and mark the state complete.
+    """Add settings and merges to words that are there; the merges come last and mark the state complete.
 
-    A state that is complete already stays as it is.  Of the complete states
-    before it all but the last go.
+    Of the complete states before it all but the last go.
     """
-    spark = words.sparkSession
     done = _steps(spark, path)
-    if len(merges) in done:
-        return
     step = f"{path}/step={len(merges)}"
-    words.select("seq", "cnt").write.mode("overwrite").parquet(f"{step}/words")
     settings = spark.createDataFrame([(list(special_tokens),)], STATE_SETTINGS_SCHEMA)
     settings.coalesce(1).write.mode("overwrite").parquet(f"{step}/settings")
     rows = [(k, bytearray(l), bytearray(r), c) for k, ((l, r), c) in enumerate(zip(merges, counts))]
@@ -44,6 +48,19 @@ def write_training_state(
         _delete(spark, f"{path}/step={n}")
 
 
+def write_training_state(
+    words: DataFrame,
+    merges: Sequence[tuple[bytes, bytes]],
+    counts: Sequence[int],
+    path: str,
+    special_tokens: Sequence[str] = (),
+) -> None:
+    """Write ``path/step=N``; a state that is complete already stays as it is."""
+    if not is_complete(words.sparkSession, path, len(merges)):
+        words.select("seq", "cnt").write.mode("overwrite").parquet(words_path(path, len(merges)))
+        complete_state(words.sparkSession, merges, counts, path, special_tokens)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
