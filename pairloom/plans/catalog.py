@@ -28,12 +28,14 @@ from pairloom.streaming import encode as streaming
 
 SPECIALS = (END_OF_TEXT,)
 MERGES = 24
+MORE_MERGES = 512  # enough for many written word tables and for indexed rounds
 VOCAB_SIZE = vocab.BYTE_TOKENS + len(SPECIALS) + MERGES
 TOP_PAIRS = 20
 CONTEXT = 32
 SAMPLES = 128
 SEED = 42
 BLOCK = 1024
+# fixed values: the sampling temperature and nucleus
 TEMPERATURE = 0.8
 TOP_P = 0.9
 SHARPNESS = 8.0  # the sample vectors are short; scaled up they make uneven distributions
@@ -264,6 +266,13 @@ def train_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return shown_merges(trained.merges_table()).join(per_rank, "rank")
 
 
+def train_bpe_long(spark: SparkSession, folder: str) -> DataFrame:
+    """Merges well beyond the first word table, with their counts."""
+    trained = train.train_bpe(word_counts(spark, folder), vocab.BYTE_TOKENS + len(SPECIALS) + MORE_MERGES, SPECIALS)
+    per_rank = spark.createDataFrame(list(enumerate(trained.merge_counts)), "rank int, cnt long")
+    return shown_merges(trained.merges_table()).join(per_rank, "rank")
+
+
 def segmented_words(spark: SparkSession, folder: str) -> DataFrame:
     return encode.segmented_words(word_counts(spark, folder), tokenizer(spark, folder))
 
@@ -617,6 +626,7 @@ QUERIES: dict[str, Query] = {
         apply_merge,
         pair_count_delta,
         train_bpe,
+        train_bpe_long,
         segmented_words,
         verify_tokenizer,
         with_special_tokens,

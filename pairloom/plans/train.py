@@ -22,6 +22,10 @@ are written anew, which cuts the lineage and starts a new index, and when the
 tracked pairs run dry.  With a state folder, the words in a saved state are that
 table; they are written once.
 
+While most words hold one of the next pairs, as in the first rounds, an index saves
+nothing: the present words are then cached from round to round and read as a whole.
+The choice is made when words are written, by the measured share, and changes no result.
+
 Counts of existing pairs only fall, and a new pair starts with its full count,
 so a pair below the cutoff of the tracked ones never comes back above it.  (A merge
 whose bytes are already a symbol is the exception and forces a full count.)
@@ -37,7 +41,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions.symbols import Alphabet, first_of, holds_any, neighbours, string_array
@@ -48,8 +52,11 @@ from pairloom.session import bounded_rows, drop_scratch, settle
 from pairloom.sources import states
 
 FEWEST_CANDIDATES, MOST_CANDIDATES = 32, 256  # pairs looked at per round
-ROUNDS_PER_TABLE = 32  # rounds, and merges, between two written word tables
-MERGES_PER_TABLE = 256
+ROUNDS_PER_TABLE = 8  # rounds, and merges, between two written word tables
+MERGES_PER_TABLE = 128
+INDEX_LASTS = 4  # an index is good for so many times the rounds
+INDEXED_SHARE = 0.3  # index the words if less than this share of them holds one of the next pairs
+NEXT_PAIRS = 64
 PAIRS_KEPT = 5_000  # so many pairs at least are tracked from a full count on
 MOST_PAIRS = 1 << 15  # and so many at most
 MOST_TRACKED = 2 * MOST_PAIRS  # pairs that are tracked before the lowest are let go
@@ -115,7 +122,7 @@ def merge_budget(vocab_size: int, special_tokens: Sequence[str]) -> int:
 
 
 def surroundings(words: DataFrame, candidates: Sequence[Candidate]) -> Surroundings:
-    """One pass over the words that hold a candidate; returns at most a row per candidate."""
+    """One pass over the words that hold a candidate; returns two rows a candidate and one for each run of two."""
     wanted = string_array([c.pair for c in candidates])
     head, tail = F.substring("run", 1, 2), F.substring("run", 2, 2)
     runs = (
@@ -126,26 +133,22 @@ def surroundings(words: DataFrame, candidates: Sequence[Candidate]) -> Surroundi
         .withColumn("head", F.array_contains(wanted, head))
         .withColumn("tail", F.array_contains(wanted, tail))
     )
+    # one key a candidate's side, and one a run of two candidates
     sides = F.array(
-        F.when(F.col("head"), F.struct(head.alias("pair"), F.lit(True).alias("after"))),
-        F.when(F.col("tail"), F.struct(tail.alias("pair"), F.lit(False).alias("after"))),
+        F.when(F.col("head"), F.concat(F.lit(">"), head)),
+        F.when(F.col("tail"), F.concat(F.lit("<"), tail)),
+        F.when(F.col("head") & F.col("tail"), F.concat(F.lit("="), F.col("run"))),
     )
-    per_pair = (
+    per_key = (
         runs.filter(F.col("head") | F.col("tail"))
-        .select("run", "cnt", (F.col("head") & F.col("tail")).alias("both"), F.explode(F.array_compact(sides)).alias("s"))
-        .groupBy(F.col("s.pair").alias("pair"))
-        .agg(
-            F.max(F.when(~F.col("s.after"), F.col("cnt"))).alias("before"),
-            F.max(F.when(F.col("s.after"), F.col("cnt"))).alias("after"),
-            F.collect_list(F.when(F.col("both") & F.col("s.after"), F.struct("run", "cnt"))).alias("overlaps"),
-        )
-    )
-    rows = per_pair.collect()
-    return Surroundings(
-        {r["pair"]: r["before"] or 0 for r in rows},
-        {r["pair"]: r["after"] or 0 for r in rows},
-        {o["run"]: o["cnt"] for r in rows for o in r["overlaps"]},
+        .select("cnt", F.explode(F.array_compact(sides)).alias("key"))
+        .groupBy("key")
+        .agg(F.max("cnt").alias("cnt"))
     )
+    found: dict[str, dict[str, int]] = {"<": {}, ">": {}, "=": {}}
+    for r in per_key.collect():
+        found[r["key"][0]][r["key"][1:]] = r["cnt"]
+    return Surroundings(found["<"], found[">"], found["="])
 
 
 def choose_batch(
@@ -278,6 +281,7 @@ class _Tables:
         self.spark = words.sparkSession
         self.alphabet = alphabet
         self.index: DataFrame | None = None
+        self.live: DataFrame | None = None  # the present words, where there is no index
         self._scratch: str | None = None
         if written:  # a saved state's words
             self.words = words
@@ -305,28 +309,42 @@ class _Tables:
         self.parts: dict[str, str] = {}  # base symbols that a newer symbol is made of
         self.age = 0
 
-    def _make_index(self) -> None:
-        """Each word under its tracked pairs, in order of rank within every partition; nothing is shuffled.
-
-        Ranks travel in one literal of at most ``MOST_TRACKED`` pairs.
-        """
-        self._forget_index()
+    def _prepare(self) -> None:
+        """Index the words, or cache them where the index would hold most of them for the next pairs."""
+        self._forget()
         ranked = sorted(self.tracked.counts, key=self.tracked.key, reverse=True)
         self.ranks = {pair: rank for rank, pair in enumerate(ranked)}
         if not ranked:
             return
+        held = F.avg(holds_any(F.col("seq"), ranked[:NEXT_PAIRS]).cast("int"))
+        if (self.words.agg(held).first()[0] or 0) < INDEXED_SHARE:
+            self._make_index(ranked)
+        else:
+            self.live = self.words.persist()
+
+    def _make_index(self, ranked: list[str]) -> None:
+        """Each word under its tracked pairs, in order of rank within every partition; nothing is shuffled.
+
+        Ranks travel in one literal of at most ``MOST_TRACKED`` pairs.  They are strings, as generated code
+        holds no string literals and so stays the same from round to round.
+        """
         ranks = self.spark.range(1).select(F.posexplode(string_array(ranked)).alias("rank", "pair"))
+        named = ranks.select(rank_name(F.col("rank")).alias("rank"), "pair")
         held = self.words.select(F.explode(F.array_distinct(neighbours(F.col("seq")))).alias("pair"), "seq", "cnt")
-        self.index = held.join(F.broadcast(ranks), "pair").select("rank", "pair", "seq", "cnt").sortWithinPartitions("rank").persist()
+        self.index = held.join(F.broadcast(named), "pair").select("rank", "pair", "seq", "cnt").sortWithinPartitions("rank").persist()
 
-    def _forget_index(self) -> None:
-        if self.index is not None:
-            self.index.unpersist()
-        self.index = None
+    def _forget(self) -> None:
+        for frame in (self.index, self.live):
+            if frame is not None:
+                frame.unpersist()
+        self.index = self.live = None
 
     def _present(self, words: DataFrame) -> DataFrame:
         return words.withColumn("seq", replace_all(F.col("seq"), self.since))
 
+    def _all_present(self) -> DataFrame:
+        return self._present(self.words) if self.live is None else self.live.select("seq", "cnt")
+
     def base_pair(self, pair: str) -> str | None:
         """The rarest base pair that every word with ``pair`` holds, or None if none was tracked."""
         symbols = "".join(self.parts.get(c, c) for c in pair)
@@ -334,25 +352,35 @@ class _Tables:
         return max(known, key=self.ranks.__getitem__, default=None)
 
     def can_find(self, pairs: Iterable[str]) -> bool:
-        return all(self.base_pair(p) is not None for p in pairs)
+        return self.index is None or all(self.base_pair(p) is not None for p in pairs)
 
     def touched(self, pairs: Iterable[str]) -> DataFrame:
         """``(seq, cnt)``: the words that may hold one of the pairs, each once and up to date."""
+        if self.live is not None:
+            return self.live.select("seq", "cnt")
         wanted = sorted({self.base_pair(p) for p in pairs}, key=self.ranks.__getitem__)
-        asked = reduce(lambda a, b: a | b, (F.col("rank").between(*r) for r in rank_ranges([self.ranks[p] for p in wanted])))
+        ranges = rank_ranges([self.ranks[p] for p in wanted])
+        ranges += ranges[-1:] * (MOST_RANGES - len(ranges))  # the same plan for any number of them
+        asked = reduce(lambda a, b: a | b, (F.col("rank").between(f"{low:08d}", f"{high:08d}") for low, high in ranges))
         # a word may stand under several of the pairs: it counts under the one that comes first in it
-        return self._present(self.index.filter(asked & (first_of(F.col("seq"), wanted) == F.col("pair"))).select("seq", "cnt"))
+        found = self.index.filter(asked & (first_of(F.col("seq"), wanted) == F.col("pair"))).select("seq", "cnt")
+        # exploded, so that a filter behind does not work the sequences out a second time
+        return self._present(found).select(F.explode(F.array(F.struct("seq", "cnt"))).alias("w")).select("w.*")
 
     def merge(self, merges: Sequence[PackedMerge]) -> None:
-        """Apply merges to the pair counts; the words follow when they are read."""
-        words = self.touched([m.pair for m in merges])
+        """Apply merges to the pair counts; indexed words follow when they are read."""
+        words, before = self.touched([m.pair for m in merges]), self.live
         changes = words.select(F.col("seq").alias("old_seq"), replace_all(F.col("seq"), merges).alias("seq"), "cnt")
+        if before is not None:
+            changes = self.live = changes.persist()
         deltas = signed_pairs(changes).groupBy("pair").agg(F.sum("cnt").alias("cnt"))
         # of the pairs that were there before only the tracked ones come back to the driver,
         # of the new ones only those that reach the cutoff
         beside = self.spark.range(1).select(F.explode(string_array(self.tracked.beside(merges))).alias("pair"), F.lit(True).alias("known"))
         asked = deltas.join(F.broadcast(beside), "pair", "left").filter(F.col("known") | (F.col("cnt") >= self.tracked.cutoff[0]))
         self.tracked.change({r["pair"]: r["cnt"] for r in asked.select("pair", "cnt").collect()})
+        if before is not None:
+            before.unpersist()
         for m in merges:
             self.parts[m.result] = "".join(self.parts.get(c, c) for c in m.pair)
         self.since += merges
@@ -360,24 +388,32 @@ class _Tables:
 
     def rewrite_words(self, path: str | None = None) -> None:
         """Write the words as they are now, which cuts their lineage, and index them."""
-        self._write(self._present(self.words), path)
+        self._write(self._all_present(), path)
         self._begin()
-        self._make_index()
+        self._prepare()
 
     def count_again(self) -> None:
         """Count the pairs of all words, choose the tracked ones and index the words under them."""
         if self.since:
-            self._write(self._present(self.words), None)
+            self._write(self._all_present(), None)
             self._begin()
         self.tracked = _Tracked(packed_pairs(self.words), self.alphabet)
-        self._make_index()
+        self._prepare()
+
+    def is_old(self) -> bool:
+        rounds = ROUNDS_PER_TABLE * (1 if self.index is None else INDEX_LASTS)
+        return self.age >= rounds or len(self.since) >= MERGES_PER_TABLE
 
     def close(self) -> None:
-        self._forget_index()
+        self._forget()
         if self._scratch is not None:
             drop_scratch(self.spark, self._scratch)
 
 
+def rank_name(rank: Column) -> Column:
+    return F.lpad(rank.cast("string"), 8, "0")
+
+
 def rank_ranges(ranks: Sequence[int], most: int = MOST_RANGES) -> list[tuple[int, int]]:
     """At most ``most`` ranges that hold all of the sorted ranks, cut at the widest gaps."""
     gaps = sorted(range(1, len(ranks)), key=lambda i: ranks[i] - ranks[i - 1], reverse=True)[: most - 1]
@@ -458,7 +494,7 @@ def _run(training: Training, words: DataFrame, vocab_size: int, state_path: str
             k = min(max(FEWEST_CANDIDATES, 4 * len(batch)), MOST_CANDIDATES)
             if known_bytes:
                 tables.count_again()
-            if tables.age >= ROUNDS_PER_TABLE or len(tables.since) >= MERGES_PER_TABLE:
+            if tables.is_old():
                 save()
         if state_path is not None and tables.since:
             save()

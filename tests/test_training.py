@@ -5,7 +5,9 @@ from conftest import SMALL
 from pairloom.operators import counts, vocab
 from pairloom.operators.encode import Tokenizer, encode_documents, segmented_words
 from pairloom.operators.decode import decode
+from pairloom.functions.symbols import Alphabet
 from pairloom.plans import train
+from pairloom.session import settle as real
 
 END = "<|endoftext|>"
 GOLDEN = (
@@ -127,3 +129,57 @@ def test_verify_reports_each_difference(spark):
     assert sorted((r["part"], r["side"]) for r in found) == [
         ("merges", "left"), ("merges", "right"), ("vocab", "left"), ("vocab", "right"),
     ]
+
+
+@pytest.mark.parametrize("share, rounds, merges", [(0.0, 2, 128), (2.0, 1, 128), (2.0, 8, 7), (0.3, 8, 128)])
+def test_index_and_cache_give_the_same_merges(spark, monkeypatch, share, rounds, merges):
+    """Always cached, always indexed with new tables often or seldom, and the usual choice."""
+    monkeypatch.setattr(train, "INDEXED_SHARE", share)
+    monkeypatch.setattr(train, "ROUNDS_PER_TABLE", rounds)
+    monkeypatch.setattr(train, "MERGES_PER_TABLE", merges)
+    table = counts.count_pretokens(spark.read.parquet(f"{SMALL}/benchmark.parquet")).cache()
+    found = {r["pretoken"]: r["cnt"] for r in table.collect()}
+    assert learned(train.train_bpe(table, 256 + 120)) == plain.train(found, 120)
+
+
+@pytest.mark.parametrize("share", [0.0, 2.0])
+def test_few_tracked_pairs_and_equal_counts(spark, monkeypatch, share):
+    """So few tracked pairs that equal counts are cut by the order of choice, pairs are let go and counted again."""
+    monkeypatch.setattr(train, "INDEXED_SHARE", share)
+    monkeypatch.setattr(train, "PAIRS_KEPT", 4)
+    monkeypatch.setattr(train, "MOST_PAIRS", 6)
+    monkeypatch.setattr(train, "MOST_TRACKED", 9)
+    found = {a + b + c: 3 for a in "abcd" for b in "abcd" for c in "xy"} | {"aaaa": 5, "abab": 7, "dd": 1}
+    assert learned(train.train_bpe(table_of(spark, found), 256 + 60)) == plain.train(found, 60)
+
+
+def test_index_reads_only_what_is_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(train, "INDEXED_SHARE", 2.0)
+    table = counts.count_pretokens(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    tables = train._Tables(counts.to_byte_symbols(table), Alphabet())
+    last = max(tables.ranks, key=tables.ranks.get)
+    rows = {r["seq"] for r in tables.touched([last]).collect()}
+    assert rows == {r["seq"] for r in tables.words.collect() if last in r["seq"]}
+    plan = tables.touched([last])._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" in plan and "rank" in plan.split("InMemoryTableScan")[1].split("InMemoryRelation")[0]
+    assert "Exchange" not in plan.split("InMemoryRelation")[0]
+    tables.close()
+
+
+def test_ranges_hold_all_ranks():
+    assert train.rank_ranges([5], 3) == [(5, 5)]
+    assert train.rank_ranges([1, 2, 9, 10, 50], 3) == [(1, 2), (9, 10), (50, 50)]
+    assert train.rank_ranges([1, 2, 9, 10, 50], 2) == [(1, 10), (50, 50)]
+
+
+def test_saved_words_are_the_base_words(spark, tmp_path, monkeypatch):
+    """With a state folder each word table is written once: it is the state."""
+    monkeypatch.setattr(train, "ROUNDS_PER_TABLE", 1)
+    written = []
+    monkeypatch.setattr(train, "settle", lambda frame, name: written.append(name) or real(frame, name))
+    table = counts.count_pretokens(spark.read.parquet(f"{SMALL}/benchmark.parquet")).cache()
+    train.train_bpe(table, 256 + 40, state_path=f"file:{tmp_path}/state")
+    assert written == ["words"]  # the table that training began with
+    written.clear()
+    resumed = train.resume_training(spark, f"file:{tmp_path}/state", 256 + 60)
+    assert written == [] and len(resumed.merges) == 60
