@@ -63,7 +63,7 @@ def main() -> None:
 
     blocks_path = scratch_path(spark, "bench-blocks")
     timed("flatten_token_stream", lambda: artifacts.write_token_stream(stream.flatten_token_stream(ids), blocks_path))
-    blocks = artifacts.read_token_stream(spark, blocks_path)
+    blocks = artifacts.open_token_stream(spark, blocks_path)
     timed("sample_windows", lambda: run(windows.sample_windows(blocks, 1024, 256, seed=1)))
     table = nexttoken.next_token_table(ids).persist()
     timed("next_token_table", table.count)

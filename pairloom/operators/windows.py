@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.draws import hashed_long
-from pairloom.operators.stream import BLOCK_SIZE, BUCKET, BUCKET_BLOCKS, stream_length
+from pairloom.operators.stream import BLOCK_SIZE, StoredStream, stream_length
 
-MOST_BUCKETS = 10_000  # buckets that are named in a filter; beyond it the whole stream is read
+MOST_BLOCKS = 100_000  # blocks whose files are looked up; with more windows the whole stream is read
 
 
 def windows_at(
-    blocks: DataFrame,
+    blocks: DataFrame | StoredStream,
     starts: DataFrame,
     context_length: int,
     block_size: int = BLOCK_SIZE,
@@ -25,8 +25,8 @@ def windows_at(
     the part of a block that lies in the window goes on to be put together.
     Every start gives a row.  A window that reaches outside the stream raises, or
     with ``on_short='null'`` has null x and y.  ``key`` tells the starts apart.
-    From a stream with buckets, as ``write_token_stream`` makes it, only the
-    buckets that are touched are read, as long as they are few.
+    Of a written stream (``open_token_stream``) only the files are read whose
+    blocks are touched, as long as the windows are few.
     """
     if context_length < 1:
         raise ValueError("context_length must be at least 1")
@@ -37,10 +37,9 @@ def windows_at(
         F.expr(f"start_pos div {block_size}"), F.expr(f"(start_pos + {context_length}) div {block_size}")
     )
     wanted = starts.select(F.col(key), F.col("start_pos").alias("begin"), F.explode(touched).alias("block_id"))
-    if BUCKET in blocks.columns:
-        rows = wanted.select(F.expr(f"block_id div {BUCKET_BLOCKS}").alias("b")).distinct().limit(MOST_BUCKETS + 1).collect()
-        if len(rows) <= MOST_BUCKETS:
-            blocks = blocks.filter(F.col(BUCKET).isin([r["b"] for r in rows]))
+    if isinstance(blocks, StoredStream):
+        rows = wanted.select("block_id").distinct().limit(MOST_BLOCKS + 1).collect()
+        blocks = blocks.blocks_of([r["block_id"] for r in rows]) if len(rows) <= MOST_BLOCKS else blocks.blocks
     found = wanted.join(blocks.select("block_id", F.col("start_pos").alias("at"), "ids"), "block_id")
     skipped = F.greatest(F.col("begin") - F.col("at"), F.lit(0))
     wished = F.col("begin") + need - F.col("at") - skipped
@@ -64,17 +63,21 @@ def windows_at(
     )
 
 
-def sample_starts(blocks: DataFrame, n: int, context_length: int, seed: int) -> DataFrame:
+def sample_starts(blocks: DataFrame | StoredStream, n: int, context_length: int, seed: int) -> DataFrame:
     """``n`` uniform starts in ``[0, length - context_length)``, with replacement."""
     room = stream_length(blocks) - context_length
     if room <= 0:
         raise ValueError("the stream is not longer than the context")
-    ids = blocks.sparkSession.range(n).withColumnRenamed("id", "sample_id")
+    spark = (blocks.blocks if isinstance(blocks, StoredStream) else blocks).sparkSession
+    ids = spark.range(n).withColumnRenamed("id", "sample_id")
     return ids.select("sample_id", F.pmod(hashed_long(seed, F.col("sample_id")), F.lit(room)).alias("start_pos"))
 
 
 def sample_windows(
-    blocks: DataFrame, n: int, context_length: int, seed: int = 0, block_size: int = BLOCK_SIZE
+    blocks: DataFrame | StoredStream, n: int, context_length: int, seed: int = 0, block_size: int = BLOCK_SIZE
 ) -> DataFrame:
-    """``n`` random windows; the draw depends on the seed and the sample number alone."""
+    """``n`` random windows; the draw depends on the seed and the sample number alone.
+
+    A written stream gives its length from the manifest, and only files with drawn blocks are read.
+    """
     return windows_at(blocks, sample_starts(blocks, n, context_length, seed), context_length, block_size)

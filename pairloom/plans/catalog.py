@@ -406,17 +406,18 @@ def _shown_windows(frame: DataFrame, key: str) -> DataFrame:
 
 
 def windows_at(spark: SparkSession, folder: str) -> DataFrame:
-    """The window at the start of every document."""
+    """The window at the start of every document; null where the stream ends within it."""
     ids = written(spark, folder)
     starts = stream.document_positions(ids).select("doc_id", "start_pos")
     blocks = stream.flatten_token_stream(ids, block_size=BLOCK)
     found = windows.windows_at(blocks, starts, CONTEXT, BLOCK, "doc_id", on_short="null")
-    return _shown_windows(found.filter("x is not null"), "doc_id")
+    return _shown_windows(found, "doc_id")
 
 
 def sample_windows(spark: SparkSession, folder: str) -> DataFrame:
-    blocks, _ = settle(_blocks(spark, folder), "blocks")
-    drawn = windows.sample_windows(blocks, SAMPLES, CONTEXT, SEED, BLOCK)
+    path = scratch_path(spark, "stream")
+    artifacts.write_token_stream(_blocks(spark, folder), path)
+    drawn = windows.sample_windows(artifacts.open_token_stream(spark, path), SAMPLES, CONTEXT, SEED, BLOCK)
     return _shown_windows(drawn, "sample_id")
 
 

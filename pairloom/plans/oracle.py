@@ -172,9 +172,9 @@ def _windows(starts: str, key: str) -> list[tuple[str, str]]:
         ("starts", starts),
         (
             "spans",
-            f"""SELECT {key}, start_pos, list(token_id ORDER BY p) AS ids
+            f"""SELECT {key}, start_pos, CASE WHEN count(*) = {c.CONTEXT + 1} THEN list(token_id ORDER BY p) END AS ids
                 FROM (SELECT {key}, start_pos, unnest(range(start_pos, start_pos + {c.CONTEXT + 1})) AS p FROM starts)
-                JOIN tokens USING (p) GROUP BY {key}, start_pos HAVING count(*) = {c.CONTEXT + 1}""",
+                JOIN tokens USING (p) GROUP BY {key}, start_pos""",
         ),
     ]
 

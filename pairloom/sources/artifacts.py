@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.encode import MAX_ID
-from pairloom.operators.stream import BUCKET, BUCKET_BLOCKS
+from pairloom.operators.stream import StoredStream
 
 LATIN = "ISO-8859-1"  # one character per byte
 
@@ -75,23 +75,40 @@ def read_merges(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_token_stream(blocks: DataFrame, path: str, max_id: int = MAX_ID) -> None:
-    """Parquet blocks in buckets of neighbouring blocks; ids outside ``0..max_id`` raise.
+    """Parquet blocks and their manifest; ids outside ``0..max_id`` raise.
 
-    Each bucket is a folder, so a reader that needs some positions opens few files.
+    Blocks are written as they lie, without a shuffle: those of ``flatten_token_stream``
+    are neighbours within a file.  The manifest, one row a file, is taken from the files that
+    were written, of which only the block numbers and sizes are read; it marks the stream complete.
     """
+    spark = blocks.sparkSession
     fits = F.forall("ids", lambda i: (i >= 0) & (i <= max_id))
     checked = F.when(fits, F.col("ids")).otherwise(
         F.raise_error(F.lit(f"token id outside 0..{max_id}")).cast("array<int>")
     )
-    bucketed = blocks.withColumn("ids", checked).withColumn(BUCKET, F.expr(f"block_id div {BUCKET_BLOCKS}"))
-    placed = bucketed.repartitionByRange(BUCKET, "block_id").sortWithinPartitions(BUCKET, "block_id")
-    placed.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    blocks.select("block_id", "start_pos", "n_ids", checked.alias("ids")).write.mode("overwrite").parquet(f"{path}/blocks")
+    sizes = read_token_stream(spark, path).select("block_id", "n_ids", F.col("_metadata.file_path").alias("file"))
+    per_file = sizes.groupBy("file").agg(
+        F.min("block_id").alias("first_block"),
+        F.max("block_id").alias("last_block"),
+        F.count(F.lit(1)).alias("n_blocks"),
+        F.sum(F.col("n_ids").cast("long")).alias("n_ids"),
+    )
+    per_file.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
+
+
+STREAM_SCHEMA = "block_id long, start_pos long, n_ids int, ids array<int>"
+MANIFEST_SCHEMA = "file string, first_block long, last_block long, n_blocks long, n_ids long"
 
 
 def read_token_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks with their bucket as a further column."""
-    schema = f"block_id long, start_pos long, n_ids int, ids array<int>, {BUCKET} long"
-    return spark.read.schema(schema).parquet(path)
+    """All blocks of a written stream."""
+    return spark.read.schema(STREAM_SCHEMA).parquet(f"{path}/blocks")
+
+
+def open_token_stream(spark: SparkSession, path: str) -> StoredStream:
+    """A written stream with its manifest, for reading parts of it."""
+    return StoredStream(read_token_stream(spark, path), spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/manifest"))
 
 
 def load_split(spark: SparkSession, train_path: str, valid_path: str) -> tuple[DataFrame, DataFrame]:

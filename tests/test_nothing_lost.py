@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from pairloom.operators import counts, encode, nexttoken, scoring, stream, vocab, windows
 from pairloom.plans import train
+from pairloom.session import settle
 from pairloom.sources import artifacts, corpus
 from pairloom.streaming import encode as streaming
 
@@ -115,17 +116,59 @@ def test_compressed_files_are_not_shuffled(spark, tmp_path):
     assert "Exchange" in corpus.read_corpus(spark, f"file:{tmp_path}", partitions=3)._jdf.queryExecution().executedPlan().toString()
 
 
-def test_windows_open_only_their_buckets(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(artifacts, "BUCKET_BLOCKS", 4)
-    monkeypatch.setattr(windows, "BUCKET_BLOCKS", 4)
-    ids = spark.createDataFrame([(1, list(range(1000)))], "doc_id long, ids array<int>")
-    artifacts.write_token_stream(stream.flatten_token_stream(ids, block_size=10), f"file:{tmp_path}/s")
-    blocks = artifacts.read_token_stream(spark, f"file:{tmp_path}/s")
+def test_windows_open_only_their_files(spark, tmp_path):
+    """The manifest names the files of the drawn blocks; the others are not in the plan."""
+    ids = spark.range(100).select((F.col("id") * 10).alias("doc_id"), F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: (F.col("id") * 10 + i).cast("int")).alias("ids"))
+    path = f"file:{tmp_path}/s"
+    artifacts.write_token_stream(stream.flatten_token_stream(ids, block_size=7).repartitionByRange(9, "block_id"), path)
+    stored = artifacts.open_token_stream(spark, path)
+    files = stored.manifest.collect()
+    assert sum(f["n_ids"] for f in files) == 1000 == stream.stream_length(stored) and len(files) > 3
     starts = spark.createDataFrame([(0, 5), (1, 985)], "sample_id long, start_pos long")
-    found = windows.windows_at(blocks, starts, 9, 10)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    found = windows.windows_at(stored, starts, 9, 7)
     assert {r["sample_id"]: r["x"] for r in found.collect()} == {0: list(range(5, 14)), 1: list(range(985, 994))}
+    read = stored.blocks_of([0, 1, 140, 142]).inputFiles()
+    assert 0 < len(read) <= 2 < len(files)
+    assert windows.sample_windows(stored, 50, 9, 3, 7).exceptAll(windows.sample_windows(stored.blocks, 50, 9, 3, 7)).isEmpty()
+    many = spark.range(0, 980).select(F.col("id").alias("sample_id"), F.col("id").alias("start_pos"))
+    assert all(r["x"] == list(range(r["start_pos"], r["start_pos"] + 9)) for r in windows.windows_at(stored, many, 9, 7).collect())
+
+
+def _exchanges_of_ids(frame):
+    """Shuffles in a plan that carry an array of ids."""
+    lines = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [line for line in lines if "Exchange" in line]
+
+
+def test_ids_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """The layout has the one shuffle of ids; blocks are cut without, and written without."""
+    plans = {}
+    monkeypatch.setattr(stream, "settle", lambda frame, name: plans.setdefault(name, _exchanges_of_ids(frame)) and None or settle(frame, name))
+    ids = spark.range(50).select(F.col("id").alias("doc_id"), F.array_repeat(F.col("id").cast("int"), 40).alias("ids"))
+    blocks = stream.flatten_token_stream(ids, block_size=64)
+    assert len(plans["layout"]) == 1 and "rangepartitioning" in plans["layout"][0]
+    cut = [line for line in plans["pieces"] if "BroadcastExchange" not in line]
+    assert not any("ids" in line for line in cut)
+    # the rest of the plan shuffles only the parts of blocks at the ends of stretches
+    whole = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.count("Aggregate [block_id") == 1 and len(_exchanges_of_ids(blocks)) == 1
+    assert blocks.count() == 32
+
+
+def test_stretches_of_any_kind_give_the_same_blocks(spark):
+    """Rows in any number of runs, in files read by other tasks than wrote them, empty documents between."""
+    rows, at = [], 0
+    for n in [3, 0, 5, 1, 0, 0, 12, 7, 2, 30, 1]:
+        rows.append((at, list(range(at, at + n))))
+        at += n
+    frame = spark.createDataFrame(rows, "at long, ids array<int>")
+    for parts in (1, 2, 3, 11):
+        pieces = stream.cut_blocks(frame.repartition(parts), 4)
+        blocks = {r["block_id"]: r["ids"] for r in stream.gather_blocks(pieces, 4).collect()}
+        assert blocks == {b: list(range(b * 4, min(b * 4 + 4, at))) for b in range((at + 3) // 4)}
+        assert all(len(r["ids"]) <= 4 for r in pieces.collect())
+    empty = spark.createDataFrame([], "doc_id long, ids array<int>")
+    assert stream.flatten_token_stream(empty).count() == 0
 
 
 def test_documents_without_a_step_stay(spark):
