@@ -28,7 +28,16 @@ from pairloom.llm.common import kind_of, map_batches
 from pairloom.session import settle
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----[A-Za-z0-9+/=\s:,.-]*?(?:-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----|\Z|(?=[^A-Za-z0-9+/=\s:,.-]))")
+_BREAK = r"(?:\s|\\[nr])"
+#: A key block: header fields, key lines without blanks (the first long), and the end mark if it is there.  A
+#: header alone, as in prose about keys, is none, and a block without an end stops with its key lines.
+BLOCK = re.compile(
+    r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+    rf"(?:{_BREAK}{{1,4}}[A-Za-z-]{{2,30}}:[ \t][^\r\n]{{0,200}}){{0,6}}"
+    rf"{_BREAK}{{0,4}}[A-Za-z0-9+/]{{40,}}={{0,2}}(?:{_BREAK}{{1,4}}[A-Za-z0-9+/]{{16,}}={{0,2}})*"
+    rf"(?:{_BREAK}{{1,4}}[A-Za-z0-9+/]{{1,15}}={{0,2}}(?={_BREAK}{{0,4}}-----END))?"
+    rf"(?:{_BREAK}{{0,4}}-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----)?"
+)
 BEARER = re.compile(r"\b(?:bearer|basic)[ \t]+([A-Za-z0-9+/_.~-]{12,}={0,2})", re.IGNORECASE)
 ASSIGNED = re.compile(
     r"(?:key|token|secret|passw|pwd|auth|credential)\w{0,24}[\"'`]?[ \t]{0,8}(?:=>|:=|[:=])[ \t]{0,8}(?:\"([^\"\s]{6,})\"|'([^'\s]{6,})'|`([^`\s]{6,})`|([^\s\"'`,;<>()\[\]{}]{6,}))",
@@ -92,18 +101,17 @@ def learn_language(words: Counter, most: int = DICTIONARY) -> Language:
 
 
 def spans(text: str | None) -> list[tuple[int, int]]:
-    """Places of the candidates from the left; where shapes overlap, blocks come first and plain runs last."""
+    """Places of the candidates from the left; shapes that overlap make one candidate of all their characters."""
     if not text:
         return []
+    shapes = (BLOCK, KNOWN, BEARER, ASSIGNED, CANDIDATE)
     found: list[tuple[int, int]] = []
-    taken = bytearray(len(text))
-    for shape in (BLOCK, KNOWN, BEARER, ASSIGNED, CANDIDATE):
-        for m in shape.finditer(text):
-            start, end = m.span(m.lastindex or 0)
-            if not any(taken[start:end]):
-                taken[start:end] = b"\1" * (end - start)
-                found.append((start, end))
-    return sorted(found)
+    for start, end in sorted(m.span(m.lastindex or 0) for shape in shapes for m in shape.finditer(text)):
+        if found and start < found[-1][1]:
+            found[-1] = found[-1][0], max(end, found[-1][1])
+        else:
+            found.append((start, end))
+    return found
 
 
 def entropy(value: str) -> float:

@@ -111,14 +111,17 @@ def near_copies(
 
     Rows are linked if their fingerprints differ in at most ``max_bits`` bits.
     Null and empty texts share fingerprint zero and are linked like any other.
-    Ids are whole numbers; rows with a null id keep their fingerprint and take part
-    with the ids of others only (a group of null ids alone has component null).
+    Ids are whole numbers; rows with a null id link others like any row, but are not
+    the smallest (a component of null ids alone is named null).
     Repeated rows come back repeated; other columns are not looked at.
     """
     prints, _ = settle(fingerprints(docs, words, id_column, text_column), "prints")
-    nodes, _ = settle(prints.groupBy("fp").agg(F.min(id_column).cast("long").alias("node")), "nodes")
-    found = components(links(nodes.filter("node is not null"), max_bits))
-    named = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    nodes, _ = settle(prints.groupBy("fp").agg(F.min(id_column).cast("long").alias("least")), "nodes")
+    # fingerprints are the nodes, so that rows without an id link others as well
+    found = components(links(nodes.select("fp", F.col("fp").alias("node")), max_bits))
+    owned, _ = settle(nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "owned")
+    best = owned.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = owned.select("fp", "component").join(best, "component").select("fp", "component_id")
     return prints.join(named, "fp").select(id_column, "fp", "component_id")
 
 

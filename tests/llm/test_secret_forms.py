@@ -44,3 +44,21 @@ def test_a_rare_finding_reaches_training(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select("text", "source")
     found = findings.labelled(docs, findings.learn_language(findings.Counter()), findings.rule_label, 10, 3).collect()
     assert sum(r["secret"] for r in found) == 1 and 10 <= sum(not r["secret"] for r in found) <= 10 * docs.rdd.getNumPartitions()
+
+
+def test_a_key_block_ends_with_its_lines():
+    """Prose behind a header, or behind a block without an end, is no part of the candidate."""
+    head, prose = "-----BEGIN PRIVATE KEY-----", " is how a key file begins, as everyone knows. Then follow lines of letters and a mark." * 15
+    assert findings.spans(f"Docs say the header {head}{prose}") == []
+    assert findings.spans(f"{head} and -----END PRIVATE KEY----- enclose the lines{prose}") == []
+    block = f"{head}\n{KEY * 2}\n{KEY * 2}\n{KEY}abc="
+    for text, end in ((block + "\n" + prose, len(block)), (block, len(block)), (block.replace("\n", "\\n") + " tail", len(block) + 3)):
+        assert findings.spans(text) == [(0, end)]
+    fields = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011\n\n{KEY * 2}\nabcd==\n-----END RSA PRIVATE KEY-----"
+    assert findings.spans("x " + fields + " y") == [(2, 2 + len(fields))]
+
+
+def test_overlapping_shapes_are_one_candidate():
+    text = f'password="sk-{KEY}1!restofpassword99" next'
+    assert [text[a:b] for a, b in findings.spans(text)] == [f"sk-{KEY}1!restofpassword99"]
+    assert findings.spans("") == findings.spans(None) == []

@@ -322,6 +322,15 @@ def test_near_copies(spark, docs):
     assert kept == {i for i, p in rows if best[p] == i}
 
 
+def test_rows_without_id_link_others(spark, monkeypatch):
+    """A chain of steps of three bits over a row without id: both ends get the smallest id."""
+    prints = [(1, 0), (None, 0b111), (3, 0b111111), (9, 1 << 40), (None, -1)]
+    frame = spark.createDataFrame(prints, "doc_id long, fp long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *rest: docs)
+    found = {(r["doc_id"], r["fp"], r["component_id"]) for r in simhash.near_copies(frame).collect()}
+    assert found == {(1, 0, 1), (None, 0b111, 1), (3, 0b111111, 1), (9, 1 << 40, 9), (None, -1, None)}
+
+
 def test_near_copies_of_odd_rows(odd):
     got = [(r["doc_id"], r["fp"], r["component_id"]) for r in simhash.near_copies(odd).collect()]
     assert len(got) == odd.count() and {c for i, f, c in got if f == 0} == {1} and sum(i == 4 for i, _, _ in got) == 2
