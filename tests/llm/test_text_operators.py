@@ -324,11 +324,11 @@ def test_near_copies(spark, docs):
 
 def test_rows_without_id_link_others(spark, monkeypatch):
     """A chain of steps of three bits over a row without id: both ends get the smallest id."""
-    prints = [(1, 0), (None, 0b111), (3, 0b111111), (9, 1 << 40), (None, -1)]
+    prints = [(1, 0), (None, 0b111), (3, 0b111111), (9, 0x0F0F0F0F << 32), (None, -1)]
     frame = spark.createDataFrame(prints, "doc_id long, fp long")
     monkeypatch.setattr(simhash, "fingerprints", lambda docs, *rest: docs)
     found = {(r["doc_id"], r["fp"], r["component_id"]) for r in simhash.near_copies(frame).collect()}
-    assert found == {(1, 0, 1), (None, 0b111, 1), (3, 0b111111, 1), (9, 1 << 40, 9), (None, -1, None)}
+    assert found == {(1, 0, 1), (None, 0b111, 1), (3, 0b111111, 1), (9, 0x0F0F0F0F << 32, 9), (None, -1, None)}
 
 
 def test_near_copies_of_odd_rows(odd):
