@@ -191,7 +191,92 @@ def crc32_of(octets: str) -> str:
     return f"xor({fold}, 4294967295)"
 
 
+def _repair_sql() -> str:
+    """The repair as a recursion over rows from the last to the first.
+
+    For each state the best ending is one string, twelve digits of cost and then its edits, so the least string is the
+    cheapest and of equal ones the ASCII-least.
+    """
+
+    def then(value: str, cost: str, letter: str) -> str:
+        return f"lpad(CAST(CAST({value}[1:12] AS BIGINT) + {cost} AS VARCHAR), 12, '0') || '{letter}' || {value}[13:]"
+
+    following = (2, 2, 3, 2)
+    kept = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+    rows = []
+    for s in range(4):
+        keep = "CASE " + " ".join(f"WHEN ini = '{i}' AND fault NOT IN (1, 2) THEN {then(f'v{t}', 'more', 'K')}" for i, t in kept[s].items()) + " END"
+        rerole = f"CASE WHEN fault NOT IN (1, 2) THEN {then(f'v{following[s]}', '2 + more', 'R')} END"
+        rows.append(f"least({then(f'v{s}', '3', 'D')}, {keep}, {rerole}) AS b{s}")
+    inserted = [then(f"b{t}", "2", "I") for t in (2, 3)]
+    return f"""
+        WITH RECURSIVE {CRC32},
+        keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(string_split(
+                coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ord(c) AS BIGINT)) AS octets
+            FROM conversations
+        ),
+        drawn AS (SELECT conv_id, turn, role, text, {crc32_of("octets")} % 20 AS d FROM keyed, crc_steps),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy,
+                CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM drawn WHERE d <> 0
+        ),
+        placed AS (
+            SELECT conv_id, turn, role, text, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n, substr(role, 1, 1) AS ini,
+                regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS solid
+            FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+        ),
+        faulty AS (
+            SELECT *, CASE WHEN solid = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+                lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS ini_before
+            FROM placed
+        ),
+        ends AS (
+            SELECT DISTINCT conv_id, n AS i, '000000000000' AS v0, '000000000004II' AS v1, '000000000002I' AS v2, '000000000000' AS v3 FROM faulty
+            UNION ALL
+            SELECT conv_id, i, least(b0, {then("u2", "2", "I")}), least(b1, {then("u2", "2", "I")}), u2, least(b3, {inserted[0]})
+            FROM (
+                SELECT *, least(b2, {inserted[1]}) AS u2 FROM (
+                    SELECT e.conv_id, e.i - 1 AS i, CASE WHEN fault = 3 THEN 1 ELSE 0 END AS more, {", ".join(rows)}
+                    FROM ends e JOIN faulty f ON e.conv_id IS NOT DISTINCT FROM f.conv_id AND e.i = f.i
+                )
+            )
+        ),
+        audits AS (SELECT conv_id, CAST(v0[1:12] AS BIGINT) AS cost, v0[13:] AS audit FROM ends WHERE i = 0),
+        letters AS (
+            SELECT conv_id, j, letter, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS k
+            FROM (SELECT conv_id, unnest(range(1, length(audit) + 1)) AS j, unnest(string_split(audit, '')) AS letter FROM audits WHERE audit <> '')
+            WINDOW w AS (PARTITION BY conv_id ORDER BY j)
+        ),
+        lines AS (
+            SELECT l.conv_id, j, k, letter, role, text, max(CASE WHEN k = 1 AND letter = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS led
+            FROM letters l LEFT JOIN faulty f ON letter <> 'I' AND l.conv_id IS NOT DISTINCT FROM f.conv_id AND l.i = f.i
+            WHERE letter <> 'D'
+        ),
+        repaired AS (
+            SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (k - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS whole
+            FROM lines GROUP BY conv_id
+        ),
+        sums AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+                count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                count(*) FILTER (i > 1 AND ini_before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faulty GROUP BY conv_id
+        )
+        SELECT c.conv_id, {", ".join(f"CAST(coalesce({x}, 0) AS BIGINT) AS {x}" for x in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))},
+            coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c
+        LEFT JOIN sums s ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+        LEFT JOIN audits a ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+        LEFT JOIN repaired r ON c.conv_id IS NOT DISTINCT FROM r.conv_id
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op13_checkpointed_repair": _repair_sql(),
     "op12_spelling_machines": f"""
         WITH RECURSIVE {CRC32},
         runs AS (
