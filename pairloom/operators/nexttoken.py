@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.operators.joins import split_join
+from pairloom.session import settle
+
 
 def count_steps(sequences: DataFrame, width: int = 1, ids_col: str = "ids", keys: Sequence[str] = ()) -> DataFrame:
     """``(keys..., context, next, cnt)`` over all sequences; ``context`` has ``width`` ids.
@@ -86,13 +89,16 @@ def score_documents(
 ) -> DataFrame:
     """``(keys..., n_tokens, loss, perplexity)``: mean loss over each sequence's predicted tokens.
 
-    The losses are worked out once per distinct step of all sequences.  A
-    sequence too short to predict anything has 0 tokens and null loss.
+    The losses are worked out once per distinct step of all sequences, and
+    joined back in two parts: steps that stand in many sequences by a
+    broadcast, all others by a shuffle.  A sequence too short to predict anything
+    has 0 tokens and null loss.
     """
-    own = count_steps(sequences, width, ids_col, keys)
-    distinct = own.groupBy("context", "next").agg(F.sum("cnt").alias("cnt"))
-    losses = step_losses(distinct, table, vocab_size, smoothing).select("context", "next", "loss")
-    scored = own.join(losses, ["context", "next"]).groupBy(*keys).agg(
+    own, _ = settle(count_steps(sequences, width, ids_col, keys), "own-steps")
+    step = ["context", "next"]
+    distinct, _ = settle(own.groupBy(*step).agg(F.sum("cnt").alias("cnt"), F.count(F.lit(1)).alias("n")), "distinct-steps")
+    losses = step_losses(distinct, table, vocab_size, smoothing).select(*step, "loss")
+    scored = split_join(own, losses, step, counts=distinct).groupBy(*keys).agg(
         F.sum("cnt").alias("n"), (F.sum(F.col("cnt") * F.col("loss")) / F.sum("cnt")).alias("loss")
     )
     every = sequences.select(*keys).distinct().join(scored, list(keys), "left")

@@ -361,6 +361,15 @@ def encode_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def encode_line_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as plain files whose lines are encoded as a stream; how often each encoded line occurs."""
+    path, out, state = scratch_path(spark, "lines"), scratch_path(spark, "encoded"), scratch_path(spark, "stream-state")
+    table(spark, folder, "documents").select("text").write.options(lineSep="\n").text(path)
+    streaming.encode_files(spark, path, tokenizer(spark, folder), out, state).awaitTermination()
+    ids = spark.read.schema("file_path string, block_start long, line long, ids array<int>").parquet(out)
+    return ids.groupBy(spaced(F.col("ids")).alias("ids")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def count_tokens(spark: SparkSession, folder: str) -> DataFrame:
     docs = texts(spark, folder, "documents")
     ids = encode.encode_documents(docs, tokenizer(spark, folder), keys=("doc_id", "lang"))
@@ -640,6 +649,7 @@ QUERIES: dict[str, Query] = {
         encode_lines,
         encode_by_line,
         encode_stream,
+        encode_line_files,
         count_tokens,
         document_positions,
         flatten_token_stream,

@@ -11,6 +11,7 @@ from pairloom.functions.draws import hashed_unit
 from pairloom.operators.scoring import UNITS, apply_temperature, limit, softmax, temper, top_p_filter, units
 from pairloom.operators.decode import decode
 from pairloom.operators.encode import Tokenizer, encode_documents
+from pairloom.operators.joins import split_join
 from pairloom.session import settle, table_bytes
 
 END_ID = 256
@@ -115,13 +116,14 @@ def generate_batch(
     Each step joins the rows to the sampler on their context; ended rows keep a
     context that is theirs alone, so that they match nothing and do not pile up
     on one key.  A sampler of at most ``SAMPLER_BYTES`` is sent to every task
-    and the rows stay where they are.
+    and the rows stay where they are.  Of a larger one, only the rows of contexts
+    that many prompts stand at are; to the others the rows are shuffled.
     """
     sampler, path = settle(sampler, "sampler")
     smoothed = "seen" in sampler.columns
     unknown = sampler.filter(F.col("context") == UNKNOWN).first() if smoothed else None
-    if table_bytes(sampler.sparkSession, path) <= SAMPLER_BYTES:
-        sampler = F.broadcast(sampler)
+    small = table_bytes(sampler.sparkSession, path) <= SAMPLER_BYTES
+    steps_per_table = steps_per_table if small else 1  # each step reads its rows three times
     context = F.array_join(F.slice("ids", -width, width), " ")
     ready = F.size("ids") >= width
     idle = F.concat(F.lit("#"), F.col("prompt_id").cast("string"))
@@ -134,7 +136,7 @@ def generate_batch(
     )
     for step in range(max_tokens):
         draw = hashed_unit(seed, F.col("prompt_id"), F.lit(step)) * F.col("mass")
-        joined = rows.join(sampler, "context", "left")
+        joined = rows.join(F.broadcast(sampler), "context", "left") if small else split_join(rows, sampler, ["context"], "left")
         if smoothed:
             none = {c: F.array().cast(sampler.schema[c].dataType) for c in ("nexts", "passes", "seen")}
             none |= {c: F.lit(unknown[c]) for c in ("mass", "base", "unit", "more")}

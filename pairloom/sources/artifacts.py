@@ -9,17 +9,32 @@ from pairloom.operators.encode import MAX_ID
 from pairloom.operators.stream import StoredStream
 
 LATIN = "ISO-8859-1"  # one character per byte
+MOST_TOKENS = 1 << 22  # of a vocabulary file
 
 _KEY_IS_TOKEN = r'(?s)^\s*\{\s*"(?:[^"\\]|\\.)*"\s*:\s*-?[0-9]'
 
 
 def write_vocab(vocab: DataFrame, path: str) -> None:
-    """One JSON object, id -> token with a character per byte."""
-    entries = F.transform(
-        F.array_sort(F.collect_list(F.struct("token_id", F.decode("token", LATIN).alias("token")))),
-        lambda e: F.struct(e["token_id"].cast("string"), e["token"]),
+    """One JSON object, id -> token with a character per byte, in order of ids, an entry a line.
+
+    One task sorts and streams the lines, as it has to be one file; nothing is
+    gathered.  Repeated ids and more than ``MOST_TOKENS`` tokens are refused.
+    """
+    sizes = vocab.agg(F.count(F.lit(1)), F.count_distinct("token_id"), F.min("token_id"), F.max("token_id")).first()
+    n, distinct, first, last = sizes
+    if n > MOST_TOKENS or distinct < n:
+        raise ValueError(f"{n} tokens with {distinct} different ids, of at most {MOST_TOKENS}, make no vocabulary")
+    # to_json writes an object of one entry: its braces go
+    entry = F.to_json(F.create_map(F.col("token_id").cast("string"), F.decode("token", LATIN)))
+    bare = F.substring(entry, F.lit(2), F.length(entry) - 2)
+    line = F.concat(
+        F.when(F.col("token_id") == first, "{").otherwise(""), bare, F.when(F.col("token_id") == last, "}").otherwise(",")
     )
-    vocab.agg(F.to_json(F.map_from_entries(entries)).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    if n:
+        lines = vocab.coalesce(1).sortWithinPartitions("token_id").select(line.alias("value"))
+    else:
+        lines = vocab.sparkSession.range(1).select(F.lit("{}").alias("value"))
+    lines.write.mode("overwrite").text(path)
 
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
