@@ -43,17 +43,22 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     The first value tells the direction.  Keys that are no integers are skipped.
     """
     raw = spark.read.text(path, wholetext=True)
-    entries = raw.select(
-        F.col("value").rlike(_KEY_IS_TOKEN).alias("key_is_token"),
-        F.explode(F.from_json("value", "map<string,string>")),
+    entries = F.map_entries(F.from_json("value", "map<string,string>"))
+
+    def pairs(token_id: str, token: str) -> Column:
+        return F.transform(entries, lambda e: F.struct(e[token_id].alias("token_id"), e[token].alias("token")))
+
+    # the direction is told before the entries become rows, so that no row carries the whole text along
+    either = F.when(F.col("value").rlike(_KEY_IS_TOKEN), pairs("value", "key")).otherwise(pairs("key", "value"))
+    return (
+        raw.select(F.explode(either).alias("e"))
+        .select(
+            F.col("e.token_id").try_cast("int").alias("token_id"),
+            F.encode("e.token", LATIN).alias("token"),
+            F.lit("read").alias("kind"),
+        )
+        .filter(F.col("token_id").isNotNull())
     )
-    token_id = F.when(F.col("key_is_token"), F.col("value")).otherwise(F.col("key"))
-    token = F.when(F.col("key_is_token"), F.col("key")).otherwise(F.col("value"))
-    return entries.select(
-        token_id.try_cast("int").alias("token_id"),
-        F.encode(token, LATIN).alias("token"),
-        F.lit("read").alias("kind"),
-    ).filter(F.col("token_id").isNotNull())
 
 
 def write_merges(merges: DataFrame, path: str) -> None:
