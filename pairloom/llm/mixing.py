@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import free_name, unit_hash
+from pairloom.operators.running import running_total
 from pairloom.session import settle
 
 LEVELS = ("domain", "lang", "source")
@@ -87,8 +88,10 @@ def _known(id_column: str) -> Column:
 def plan(
     docs: DataFrame, share: float, weights: dict[str, Column], domain: Column, epochs: int = 1, seed: int = SEED,
     tokens: Column | None = None, id_column: str = "doc_id", text_column: str = "text",
-) -> tuple[DataFrame, bool]:
-    """One row a leaf: its budget, its whole epochs and where it stops in the next one; and whether that is few rows.
+) -> tuple[DataFrame, bool, bool]:
+    """One row a leaf: its budget, its whole epochs and where it stops in the next one.
+
+    With it, whether that is few rows, and whether a leaf stops within rows of one id.
 
     The budget of the root is ``share`` of all tokens of ``docs``.
     """
@@ -115,17 +118,21 @@ def plan(
     sums = sums.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     ends = sums.filter("before < rest and before + n >= rest").select(*LEVELS, "slice", "before")
     inside = placed.join(F.broadcast(ends) if few else ends, [*LEVELS, "slice"])
-    inside = inside.groupBy(*LEVELS, "h", "_id").agg(F.sum("n").alias("n"), F.first("rest").alias("rest"), F.first("before").alias("before"))
+    inside = inside.groupBy(*LEVELS, "h", "_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), F.first("rest").alias("rest"), F.first("before").alias("before"))
     running = Window.partitionBy(*LEVELS).orderBy("h", "_id").rowsBetween(Window.unboundedPreceding, -1)
     inside = inside.withColumn("left", F.col("rest") - F.col("before") - F.coalesce(F.sum("n").over(running), F.lit(0)))
-    stop = inside.filter("left > 0 and left <= n").select(*LEVELS, F.col("h").alias("cut_h"), F.col("_id").alias("cut_id"), F.col("left").alias("cut_tokens"))
+    stop = inside.filter("left > 0 and left <= n").select(*LEVELS, F.col("h").alias("cut_h"), F.col("_id").alias("cut_id"), F.col("left").alias("cut_tokens"), F.col("rows").alias("cut_rows"))
     found, _ = settle(aim.join(stop, list(LEVELS), "left"), "mix-plan")
-    return found, few
+    return found, few, not found.filter("cut_rows > 1").isEmpty()
+
 
+def _taken(docs: DataFrame, planned: tuple[DataFrame, bool, bool], domain: Column, seed: int, n: Column, id_column: str, free: str = "") -> DataFrame:
+    """``docs`` with its whole epochs and the tokens taken in the last one, under names that begin with ``free``.
 
-def _taken(docs: DataFrame, planned: tuple[DataFrame, bool], domain: Column, seed: int, n: Column, id_column: str, free: str = "") -> DataFrame:
-    """``docs`` with its whole epochs and the tokens taken in the last one, under names that begin with ``free``."""
-    table, few = planned
+    Where the budget of a leaf ends within rows of one id, those rows are put in order by their contents and
+    a running total over tasks tells what is left for each; of equal rows the order does not matter.
+    """
+    table, few, repeated = planned
     kept = table.select(*(F.col(x).alias(f"{free}_{x}") for x in (*LEVELS, "epochs", "cut_h", "cut_id", "cut_tokens")))
     keys = (F.coalesce(domain.cast("string"), F.lit("")), F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit("")))
     on = [F.col(f"{free}_{x}") == k for x, k in zip(LEVELS, keys, strict=True)]
@@ -134,8 +141,16 @@ def _taken(docs: DataFrame, planned: tuple[DataFrame, bool], domain: Column, see
     cut_h, cut_id = F.col(f"{free}_cut_h"), F.col(f"{free}_cut_id")
     first = (spot < cut_h) | ((spot == cut_h) & (known < cut_id))
     last = (spot == cut_h) & (known == cut_id)
-    rest = F.when(first, n).when(last, F.least(n, F.col(f"{free}_cut_tokens"))).otherwise(0).cast("long")
-    return both.withColumn(f"{free}_rest", rest)
+    if not repeated:
+        rest = F.when(first, n).when(last, F.least(n, F.col(f"{free}_cut_tokens"))).otherwise(0).cast("long")
+        return both.withColumn(f"{free}_rest", rest)
+    last = F.coalesce(last, F.lit(False))
+    whole = both.filter(~last).withColumn(f"{free}_rest", F.when(first, n).otherwise(0).cast("long"))
+    cut = both.filter(last).withColumn(f"{free}_n", n).withColumn(f"{free}_order", F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns)))))
+    leaf = [f"{free}_{x}" for x in LEVELS]
+    summed = running_total(cut, f"{free}_n", [F.col(f"{free}_order")], leaf, f"{free}_before")
+    left = F.greatest(F.least(F.col(f"{free}_n"), F.col(f"{free}_cut_tokens") - F.col(f"{free}_before")), F.lit(0))
+    return whole.unionByName(summed.withColumn(f"{free}_rest", left.cast("long")).select(*(F.col(f"`{c}`") for c in whole.columns)))
 
 
 def mix(
@@ -148,8 +163,8 @@ def mix(
     ``rest_tokens`` what the leaf's last, partial epoch takes of it (the
     document where the budget ends is cut), ``taken`` both together.  Null
     names are leaves named by the empty text; null and empty texts have no
-    tokens and are taken with a whole epoch only; rows with the same id share
-    one place in the order, so a cut may take the same tokens of each.  An empty
+    tokens and are taken with a whole epoch only; rows with the same id, or
+    without one, follow each other in the order, and a cut takes its tokens of one of them.  An empty
     table gives an empty result; further columns are not looked at.
     """
     narrow = docs.select(

@@ -310,6 +310,17 @@ def brute_components(prints):
     return best
 
 
+def test_a_cut_within_rows_of_one_id(spark):
+    """50 rows of id 1 and 50 without id: the budget is met to the token, and one row is cut."""
+    rows = [(1, "a b c d e f g h i j", "en", "s", "x")] * 50 + [(None, f"{k} b c d e f g h i j", "en", "s", "x") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n string")
+    for share, want in ((0.3, 300), (0.755, 755), (1.0, 1000)):
+        taken = [r["taken"] for r in mixing.mix(docs, share, {}, F.lit("d")).collect()]
+        assert sum(taken) == want and sum(t not in (0, 10) for t in taken) == (want % 10 > 0)
+    kept = mixing.keep_mixed(docs, 0.3, {}, F.lit("d"))
+    assert kept.count() == 30 and kept.columns == docs.columns
+
+
 def test_near_copies(spark, docs):
     rows = [(r["doc_id"], plain_print(r["text"])) for r in docs.collect()]
     extra = [(10_000 + k, " ".join(w if j != k * 7 % 90 else "changed" for j, w in enumerate(LONG.split()[:600]))) for k in range(12)]
