@@ -411,6 +411,13 @@ def build() -> dict[str, str]:
             *_piece_ids(),
             final=_encoded("doc_id, line_no").replace("SELECT doc_id, line_no", "SELECT doc_id, line_no::INTEGER AS line_no"),
         ),
+        "encode_line_files": _with(
+            *train,
+            ("lines", lines[1].replace(_lines("text"), _lines("text || chr(10)"))),
+            _pieces("lines", "doc_id, line_no", _pretokens("text")),
+            *_piece_ids(),
+            final=f"SELECT ids, count(*) AS lines FROM ({_encoded('doc_id, line_no')}) GROUP BY ids",
+        ),
         "encode_by_line": _with(
             *train, _pieces("documents", "doc_id", line_cut), *_piece_ids(), final=_encoded("doc_id")
         ),

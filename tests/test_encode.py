@@ -75,8 +75,10 @@ def test_same_ids_for_any_partitioning(spark, tok):
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
 
 
-def test_encoding_does_not_shuffle(spark, tok):
-    plan = encode.encode_documents(spark.read.parquet(f"{SMALL}/documents.parquet"), tok)
+def test_encoding_does_not_shuffle(spark, tok, tmp_path):
+    # a table of its own, as another test may have cached the sample
+    spark.read.parquet(f"{SMALL}/documents.parquet").write.parquet(f"file:{tmp_path}/documents")
+    plan = encode.encode_documents(spark.read.parquet(f"file:{tmp_path}/documents"), tok)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "ReadSchema: struct<doc_id:bigint,text:string>" in text
 
