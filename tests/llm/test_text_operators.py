@@ -17,7 +17,9 @@ ODD = "doc_id long, text string, lang string, source string, n_tokens string, fp
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.read.parquet(f"{SMALL}/documents.parquet").cache()
+    cached = spark.read.parquet(f"{SMALL}/documents.parquet").cache()
+    yield cached
+    cached.unpersist()
 
 
 @pytest.fixture(scope="module")
