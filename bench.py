@@ -17,7 +17,7 @@ from pairloom.plans import catalog, generate, train
 from pairloom.session import local_session, scratch_path
 from pairloom.sources import artifacts
 
-MERGES = 100
+MERGES, MORE_MERGES = 100, 1000
 SPECIALS = (END_OF_TEXT,)
 
 
@@ -49,6 +49,10 @@ def main() -> None:
     extra["sec_per_round"] = round(times["train_bpe"] / trained.rounds, 3)
     extra["merges_per_sec"] = round(len(trained.merges) / times["train_bpe"], 2)
 
+    more = timed("train_bpe_1000", lambda: train.train_bpe(words, 257 + MORE_MERGES, SPECIALS))
+    extra["merges_1000"], extra["rounds_1000"] = len(more.merges), more.rounds
+    extra["sec_per_round_1000"] = round(times["train_bpe_1000"] / more.rounds, 3)
+
     tok = encode.Tokenizer(trained.vocab(), trained.merges_table(), SPECIALS)
     timed("encode_pretokens", lambda: run(encode.encode_pretokens(words, tok)))
     path = scratch_path(spark, "bench-encoded")
