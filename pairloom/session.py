@@ -20,7 +20,7 @@ def local_session(cores: int = 8, app: str = "pairloom", **conf: str) -> SparkSe
         "spark.sql.shuffle.partitions": str(cores),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
-        "pairloom.read.partitions": str(cores),  # the sample tables have one row group each
+        "spark.pairloom.read.partitions": str(cores),  # the sample tables have one row group each
         # call-site capture costs more than planning when a loop builds many plans
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,

@@ -9,13 +9,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-SPREAD = "pairloom.read.partitions"
+SPREAD = "spark.pairloom.read.partitions"
 
 
 def read_texts(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """A table with work-heavy text columns, read where it lies.
 
-    ``partitions``, or else the session setting ``pairloom.read.partitions``,
+    ``partitions``, or else the session setting ``spark.pairloom.read.partitions``,
     spreads the rows over so many tasks by a shuffle.  That is for small files of
     a single row group, which no two tasks can share; neither is set by default.
     """
