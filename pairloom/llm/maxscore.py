@@ -1,12 +1,17 @@
 """Exact top-k by inner product with MaxScore.
 
-Vectors are sparse lists of whole-number term weights: each term has postings,
-the rows where it is not zero.  In a shard of rows the most that a query's term
-can add is its bound.  Terms sorted by bound split in two: as long as the
-bounds of the smaller ones together stay below the score to beat, a row found
-in none of the others cannot win.  So the postings of the larger, essential
-terms are traversed and the smaller ones only probed for rows that can still
-reach the score to beat.  The shards' winners are merged.
+Vectors are lists of whole-number term weights: each term has postings, the
+rows where it is not zero.  In a shard of rows the most that a query's term can
+add is its bound.  Terms sorted by bound split in two: the larger, essential
+ones are traversed, and the smaller ones probed only for rows that can still
+reach the score to beat with the bounds of what is left to probe.  A shard
+where all bounds of a query together stay below that score is passed over.
+The score to beat is the k-th of the query in one shard that all queries meet
+first; the shards' winners are merged.
+
+Postings lie as columns of a matrix, so the essential postings of many queries
+are traversed at once, as a matrix product in which other terms weigh nothing.
+All numbers are whole and below the precision of their type, so sums are exact.
 """
 
 from __future__ import annotations
@@ -18,66 +23,113 @@ from pyspark.sql import functions as F
 
 from pairloom.session import settle
 
-#: Rows of a shard and queries that meet it at once.
+#: Rows of a shard, and queries that meet it in one task: in the first shard and in the others.
 SHARD = 8192
-QUERIES = 1024
-#: Rows of a shard that are scored first, for a score to beat.
+EARLY = 1024
+QUERIES = 8192
+#: Rows of a shard that are scored first where no score to beat is known.
 FIRST = 512
+#: Queries whose essential postings are traversed at once.
+TOGETHER = 256
+#: Non-essential are the smallest bounds that together stay below this share of the score to beat.
+MARGIN = 0.25
 #: Probed terms between two looks at which rows are still competitive.
 PROBED = 4
+#: Stands for no score to beat.
+NEVER = -(1 << 61)
+
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def exact_type(size: int, most: int) -> type:
+    """The fastest type that holds every sum of ``size`` products of weights up to ``most``."""
+    largest = size * most * most
+    return np.float32 if largest < 1 << 24 else np.float64 if largest < 1 << 53 else np.int64
+
+
+def _best(found: Found, k: int, n: int) -> tuple[Found, np.ndarray]:
+    """The ``k`` best rows of each of ``n`` queries, ties to the smaller row, and the k-th scores (``NEVER``: fewer)."""
+    query, row, score = found
+    order = np.lexsort((row, -score, query))
+    query, row, score = query[order], row[order], score[order]
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    last = np.full(n, NEVER)
+    last[query[rank == k - 1]] = score[rank == k - 1]
+    keep = rank < k
+    return (query[keep], row[keep], score[keep]), last
 
 
 class Shard:
-    """Postings of some rows, in order of their ids."""
+    """Postings of some rows, in order of their ids.
+
+    ``pairs`` counts the rows that queries met, ``probed`` those that were still competitive after the essential terms.
+    """
 
-    def __init__(self, ids: np.ndarray, weights: np.ndarray):
+    def __init__(self, ids: np.ndarray, weights: np.ndarray, kind: type = np.float64):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.weights = ids[order], weights[order]
-        self.rows = [np.flatnonzero(c) for c in self.weights.T]
-        self.values = [c[r] for c, r in zip(self.weights.T, self.rows, strict=True)]
-        self.first = [int(np.searchsorted(r, FIRST)) for r in self.rows]
+        self.ids, self.weights = ids[order], np.ascontiguousarray(weights[order], kind)
+        self.pairs = self.probed = 0
         if len(ids):
             self.most, self.least = self.weights.max(axis=0), self.weights.min(axis=0)
 
-    def _block(self, query: np.ndarray, terms: np.ndarray, below: np.ndarray, low: int, high: int, beat: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of a block that can reach ``beat``, and their scores.  ``below``: bounds of the terms up to each, summed."""
-        head = low == 0
-        probed = 0 if beat is None else int(np.searchsorted(below, beat, "left"))  # their bounds stay below it
-        scores = np.zeros(high - low, np.int64)
-        touched = np.zeros(high - low, bool) if probed else None
-        for d in terms[probed:]:
-            part = slice(0, self.first[d]) if head and high == FIRST else slice(self.first[d] if low == FIRST else 0, None)
-            at = self.rows[d][part] - low
-            scores[at] += query[d] * self.values[d][part]
-            if touched is not None:
-                touched[at] = True
-        rows = np.arange(high - low) if touched is None else np.flatnonzero(touched)
-        scores = scores[rows]
-        for end in range(probed, 0, -PROBED):
-            able = scores + below[end - 1] >= beat
-            rows, scores = rows[able], scores[able]
-            if not len(rows):
-                break
-            some = terms[max(0, end - PROBED) : end]
-            scores = scores + self.weights[(rows + low)[:, None], some] @ query[some]
-        return rows + low, scores
+    def _scan(self, queries: np.ndarray, low: int, high: int, beat: np.ndarray, names: np.ndarray | None) -> Found:
+        """``(query, row, score)`` of the rows from ``low`` to ``high`` that reach the queries' scores to beat."""
+        self.pairs += len(queries) * (high - low)
+        beat = beat.astype(queries.dtype)
+        bounds = np.maximum(np.maximum(queries * self.most, queries * self.least), 0)
+        live = np.flatnonzero(bounds.sum(axis=1) >= beat)  # the others cannot win here
+        queries, bounds, beat = queries[live], bounds[live], beat[live]
+        order = np.argsort(bounds, axis=1, kind="stable")
+        below = np.cumsum(np.take_along_axis(bounds, order, axis=1), axis=1)
+        split = (below < MARGIN * beat[:, None]).sum(axis=1)
+        place = np.argsort(order, axis=1)
+        essential = np.where(place >= split[:, None], queries, 0).astype(queries.dtype)
+        rows = self.weights[low:high]
+        scores = essential @ rows.T
+        left = np.where(split > 0, below[np.arange(len(live)), split - 1], 0)
+        query, row = np.nonzero(scores >= (beat - left)[:, None])
+        score = scores[query, row]
+        self.probed += len(query)
+        for done in range(0, int(split.max(initial=0)), PROBED):
+            for k in range(done, done + PROBED):
+                at = split[query] - 1 - k
+                term = order[query, np.maximum(at, 0)]
+                score = score + np.where(at >= 0, queries[query, term] * rows[row, term], 0)
+            at = split[query] - 1 - done - PROBED
+            able = score + np.where(at >= 0, below[query, np.maximum(at, 0)], 0) >= beat[query]
+            query, row, score = query[able], row[able], score[able]
+        query, row = live[query], row + low
+        score = score.astype(np.int64)
+        if names is not None:
+            other = self.ids[row] != names[query]
+            query, row, score = query[other], row[other], score[other]
+        return query, row, score
+
+    def best(self, queries: np.ndarray, k: int, beat: np.ndarray | None = None, names: np.ndarray | None = None) -> Found:
+        """``(query, row, score)``: each query's ``k`` best rows with other ids than its own (``names``), best first.
+
+        Rows below ``beat``, a score that ``k`` rows are known to reach (or ``NEVER``), may be missing.
+        """
+        n, out = len(self.ids), []
+        for at in range(0, len(queries) if n else 0, TOGETHER):
+            some = queries[at : at + TOGETHER].astype(self.weights.dtype)
+            own = None if names is None else names[at : at + TOGETHER]
+            goal = np.full(len(some), NEVER) if beat is None else beat[at : at + TOGETHER]
+            parts, start = [], 0
+            if (goal == NEVER).any():
+                start = min(n, max(FIRST, 2 * k))
+                first, reached = _best(self._scan(some, 0, start, np.full(len(some), NEVER), own), k, len(some))
+                parts, goal = [first], np.maximum(goal, reached)
+            if start < n:
+                parts.append(self._scan(some, start, n, goal, own))
+            query, row, score = _best(tuple(map(np.concatenate, zip(*parts, strict=True))), k, len(some))[0]
+            out.append((query + at, row, score))
+        return tuple(map(np.concatenate, zip(*out, strict=True))) if out else (np.zeros(0, np.int64),) * 3
 
     def top(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best rows, best first, ties to the smaller id."""
-        n = len(self.ids)
-        if not n:
-            return self.ids, np.zeros(0, np.int64)
-        bounds = np.maximum(np.maximum(query * self.most, query * self.least), 0)
-        terms = np.flatnonzero(query)
-        terms = terms[np.argsort(bounds[terms], kind="stable")]
-        below = np.cumsum(bounds[terms])
-        rows, scores = self._block(query, terms, below, 0, min(n, FIRST), None)
-        if n > FIRST:
-            beat = int(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else None
-            more, found = self._block(query, terms, below, FIRST, n, beat)
-            rows, scores = np.concatenate([rows, more]), np.concatenate([scores, found])
-        best = np.lexsort((rows, -scores))[:k]
-        return self.ids[rows[best]], scores[best]
+        _, row, score = self.best(query[None, :], k)
+        return self.ids[row], score
 
 
 def weights_of(vector: Column, scale: int) -> Column:
@@ -96,19 +148,22 @@ def top_products(
     rows of its own id.  Null vectors, vectors with a null or non-finite
     component and rows without id take no part; shorter vectors miss the later
     terms; empty ones score 0.  Scores have to fit a long.  Repeated rows are found repeatedly.
+    Rows and queries are dealt evenly, whatever their ids.
     """
     is_query = F.lit(True) if is_query is None else is_query
     usable = vectors.select(
         F.col(id_column).cast("long").alias("id"), weights_of(F.col(vector_column), scale).alias("w"), is_query.alias("asks")
     ).filter("id is not null and w is not null")
-    rows, _ = settle(usable, "weights")
-    n, asking, size = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("asks"), 1)), F.max(F.size("w"))).first()
-    shards, blocks, size = max(1, -(-n // SHARD)), max(1, -(-asking // QUERIES)), max(1, size or 1)
-    spread = F.xxhash64("id")
-    held = rows.select("id", "w", F.pmod(spread, F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    asked = rows.filter("asks").select(
-        "id", "w", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.pmod(F.shiftrightunsigned(spread, 20), F.lit(blocks)).cast("int").alias("block")
-    )
+    # the place in the table spreads rows that share an id
+    rows, _ = settle(usable.withColumn("spread", F.xxhash64("id", F.monotonically_increasing_id())), "weights")
+    n, asking, size, high, low = rows.agg(
+        F.count(F.lit(1)), F.count(F.when(F.col("asks"), 1)), F.max(F.size("w")), F.max(F.array_max("w")), F.min(F.array_min("w"))
+    ).first()
+    shards, size, most = max(1, -(-n // SHARD)), max(1, size or 1), max(high or 0, -(low or 0))
+    kind = exact_type(size, most)
+    rows = rows.withColumn("shard", F.pmod("spread", F.lit(shards)).cast("int"))
+    if most < 1 << 15:
+        rows = rows.withColumn("w", F.col("w").cast("array<smallint>"))
 
     def matrix(lists: pd.Series) -> np.ndarray:
         if len(lists) and all(len(x) == size for x in lists):
@@ -118,21 +173,29 @@ def top_products(
             out[k_, : len(x)] = x
         return out
 
-    def search(held_rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        shard = Shard(held_rows["id"].to_numpy(), matrix(held_rows["w"]))
-        ids, scores, names = [], [], []
-        for name, query in zip(queries["id"].to_numpy(), matrix(queries["w"]), strict=True):
-            copies = int(np.searchsorted(shard.ids, name, "right") - np.searchsorted(shard.ids, name, "left"))
-            found, score = shard.top(query, k + copies)
-            other = np.flatnonzero(found != name)[:k]
-            ids.append(found[other])
-            scores.append(score[other])
-            names.append(np.full(len(other), name))
-        if not ids:
+    def search(held: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if not len(held) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return pd.DataFrame({"query_id": np.concatenate(names), "vec_id": np.concatenate(ids), "score": np.concatenate(scores)})
+        shard = Shard(held["id"].to_numpy(), matrix(held["w"]), kind)
+        names = queries["id"].to_numpy()
+        query, row, score = shard.best(matrix(queries["w"]), k, queries["beat"].to_numpy(np.int64), names)
+        return pd.DataFrame({"query_id": names[query], "vec_id": shard.ids[row], "score": score})
+
+    def meet(held: DataFrame, asked: DataFrame, together: int, others: list[int]) -> DataFrame:
+        """Winners of each pair of a shard and a block of queries ``(id, w, spread, beat)``."""
+        blocks = max(1, -(-asking // together))
+        held = held.select("id", "w", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        block = F.pmod(F.shiftrightunsigned("spread", 20), F.lit(blocks)).cast("int")
+        asked = asked.select("id", "w", "beat", F.explode(F.sequence(F.lit(others[0]), F.lit(others[-1]))).alias("shard"), block.alias("block"))
+        keys = ("shard", "block")
+        return held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
 
-    keys = ("shard", "block")
-    found = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    asked = rows.filter("asks").select("id", "w", "spread")
+    found = meet(rows.filter("shard = 0"), asked.withColumn("beat", F.lit(NEVER)), EARLY, [0])
+    if shards > 1:
+        early, _ = settle(found, "early")
+        reached = early.withColumn("rank", rank).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("beat"))
+        known = asked.join(reached, "id", "left").withColumn("beat", F.coalesce("beat", F.lit(NEVER)))
+        found = early.unionByName(meet(rows.filter("shard > 0"), known, QUERIES, [1, shards - 1]))
     return found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -82,6 +82,43 @@ def test_products_of_odd_rows(odd):
     assert [(r["query_id"], r["vec_id"]) for r in maxscore.top_products(doubled, 5, F.col("vec_id") == 0).collect()] == [(0, 3), (0, 3)]
 
 
+@pytest.mark.parametrize("kind", [np.float32, np.float64, np.int64])
+def test_products_in_every_type_pass_rows_over(kind):
+    """Exact in every type; few rows outlive the essential terms once the score to beat is known."""
+    rng = np.random.default_rng(7)
+    middles = rng.normal(size=(20, 32))
+    weights = np.floor(16 * (middles[rng.integers(0, 20, 6000)] + 0.3 * rng.normal(size=(6000, 32)))).astype(np.int64)
+    ids, queries = np.arange(6000), weights[::100]
+    shard = maxscore.Shard(ids, weights, kind)
+    query, row, score = shard.best(queries, 10, names=ids[::100])
+    full = queries @ weights.T
+    full[np.arange(60), ids[::100]] = maxscore.NEVER
+    want = [np.lexsort((ids, -f))[:10] for f in full]
+    assert list(row) == list(np.concatenate(want)) and list(score) == [full[q, r] for q, r in zip(query, row, strict=True)]
+    assert shard.pairs == 60 * 6000 and shard.probed < 0.2 * shard.pairs
+    again = maxscore.Shard(ids, weights, kind)
+    goal = np.array([f[w[-1]] for f, w in zip(full, want, strict=True)])
+    assert list(again.best(queries, 10, goal, ids[::100])[1]) == list(row) and again.probed < 0.05 * again.pairs
+
+
+def test_products_over_many_shards(spark, monkeypatch):
+    """Several shards and blocks, a third of all rows of one id, lengths that differ."""
+    monkeypatch.setattr(maxscore, "SHARD", 40)
+    monkeypatch.setattr(maxscore, "EARLY", 7)
+    monkeypatch.setattr(maxscore, "QUERIES", 11)
+    rng = np.random.default_rng(9)
+    rows = [(int(i), [float(x) for x in rng.integers(-4, 5, rng.integers(0, 6))]) for i in [*range(1, 400), *[0] * 200]]
+    got = defaultdict(list)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    for r in maxscore.top_products(frame, 6, (F.col("vec_id") % 20 == 0) & (F.col("vec_id") > 0), 1).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((-r["score"], r["vec_id"]))
+    vectors = dict(rows[:399])
+    assert set(got) == {i for i in vectors if i % 20 == 0}
+    for i, found in got.items():
+        every = sorted((-int(sum(a * b for a, b in zip(vectors[i], v))), j) for j, v in rows if j != i)
+        assert found == every[:6]
+
+
 @pytest.mark.parametrize(
     "url,want",
     [("HTTP://WWW.Example.com:80/a/?b=2&a=1&utm_x=9#f", "http://example.com/a?a=1&b=2"), ("https://user:pw@h:443", "https://h/"),
