@@ -177,25 +177,25 @@ def top_products(
         if not len(held) or not len(queries):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         shard = Shard(held["id"].to_numpy(), matrix(held["w"]), kind)
-        names = queries["id"].to_numpy()
-        query, row, score = shard.best(matrix(queries["w"]), k, queries["beat"].to_numpy(np.int64), names)
+        names = queries["query_id"].to_numpy()
+        query, row, score = shard.best(matrix(queries["v"]), k, queries["beat"].to_numpy(np.int64), names)
         return pd.DataFrame({"query_id": names[query], "vec_id": shard.ids[row], "score": score})
 
     def meet(held: DataFrame, asked: DataFrame, together: int, others: list[int]) -> DataFrame:
-        """Winners of each pair of a shard and a block of queries ``(id, w, spread, beat)``."""
+        """Winners of each pair of a shard and a block of queries ``(query_id, v, spread, beat)``."""
         blocks = max(1, -(-asking // together))
         held = held.select("id", "w", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
         block = F.pmod(F.shiftrightunsigned("spread", 20), F.lit(blocks)).cast("int")
-        asked = asked.select("id", "w", "beat", F.explode(F.sequence(F.lit(others[0]), F.lit(others[-1]))).alias("shard"), block.alias("block"))
+        asked = asked.select("query_id", "v", "beat", F.explode(F.sequence(F.lit(others[0]), F.lit(others[-1]))).alias("shard"), block.alias("block"))
         keys = ("shard", "block")
         return held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
 
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    asked = rows.filter("asks").select("id", "w", "spread")
+    asked = rows.filter("asks").select(F.col("id").alias("query_id"), F.col("w").alias("v"), F.col("spread").alias("spread"))
     found = meet(rows.filter("shard = 0"), asked.withColumn("beat", F.lit(NEVER)), EARLY, [0])
     if shards > 1:
         early, _ = settle(found, "early")
-        reached = early.withColumn("rank", rank).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("beat"))
-        known = asked.join(reached, "id", "left").withColumn("beat", F.coalesce("beat", F.lit(NEVER)))
+        reached = early.withColumn("rank", rank).filter(F.col("rank") == k).select("query_id", F.col("score").alias("beat"))
+        known = asked.join(reached, "query_id", "left").withColumn("beat", F.coalesce("beat", F.lit(NEVER)))
         found = early.unionByName(meet(rows.filter("shard > 0"), known, QUERIES, [1, shards - 1]))
     return found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
