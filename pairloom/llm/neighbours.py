@@ -142,8 +142,9 @@ def nearest(
 
     ``is_query`` tells the query rows by ``id_column`` (all rows by default); a
     query is not its own neighbour but its copies are.  Vectors that are null,
-    zero, of another length than most or hold null or non-finite components take
-    no part; rows without id neither.  A repeated id counts as one more copy.
+    zero or hold null or non-finite components take no part; rows without id
+    neither.  Neighbours have the query's own length; the buckets hold the most
+    common length, and queries of others are measured against all of theirs.  A repeated id counts as one more copy.
     The search is approximate only in which vectors it looks at; a query whose
     buckets hold too few, or meet its neighbours in too few tables, is measured against all.
     ``width`` is fitted to the data if not given.
@@ -152,19 +153,25 @@ def nearest(
     known, _ = settle(classes(vectors, k, id_column, vector_column), "classes")
     lengths = known.filter("row = 1").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     size = lengths[0]["n"] if lengths else 1
-    reps = known.filter((F.col("row") == 1) & (F.size("v") == size)).select("rep", "v")
+    every = known.filter(F.col("row") == 1).select("rep", "v")
+    reps = every.filter(F.size("v") == size)
     asked = vectors.filter(is_query & F.col(id_column).isNotNull() & usable(F.col(vector_column)))
     asked = asked.select(F.col(id_column).cast("long").alias("query_id"), F.transform(F.col(vector_column), lambda x: x.cast("double") + F.lit(0.0)).alias("v"))
-    queries, _ = settle(asked.join(reps, "v").select("query_id", "rep"), "queries")
-    searched = reps.join(queries.select("rep").distinct(), "rep", "left_semi")
-
-    n_all = max(1, -(-reps.count() // BLOCK))
+    queries, _ = settle(asked.join(every, "v").select("query_id", "rep"), "queries")
+    wanted = every.join(queries.select("rep").distinct(), "rep", "left_semi")
+    searched, others_searched = wanted.filter(F.size("v") == size), wanted.filter(F.size("v") != size)
+    # blocks of the classes of each length
+    dealt = every.groupBy(F.size("v").alias("length")).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt, _ = settle(dealt, "dealt")
 
     def exactly(some: DataFrame) -> DataFrame:
-        """``(query_rep, rep, score)``: the nearest of each block of all classes."""
-        everywhere = reps.withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(n_all)).cast("int"))
-        asked_all = some.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_all - 1))))
-        return everywhere.groupBy("block").cogroup(asked_all.groupBy("block")).applyInPandas(measure, "query_rep long, rep long, score double")
+        """``(query_rep, rep, score)``: the nearest of each block of all classes of the query's length."""
+        keys = ("length", "block")
+        everywhere = every.withColumn("length", F.size("v")).join(dealt, "length")
+        everywhere = everywhere.select("rep", "v", "length", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"))
+        asked_all = some.select("rep", "v", F.size("v").alias("length")).join(dealt, "length")
+        asked_all = asked_all.select("rep", "v", "length", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        return everywhere.groupBy(*keys).cogroup(asked_all.groupBy(*keys)).applyInPandas(measure, "query_rep long, rep long, score double")
 
     def measure(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"query_rep": [], "rep": [], "score": []})]
@@ -239,7 +246,9 @@ def nearest(
     seen = found.groupBy("query_rep").agg(F.count(F.lit(1)).alias("n"), F.avg(others).alias("hits")).withColumnRenamed("query_rep", "rep")
     enough = min(k + 1, reps.count())
     few = (F.coalesce("n", F.lit(0)) < enough) | (F.col("hits") < hits_needed(tables))
-    short, _ = settle(searched.join(seen, "rep", "left").filter(few).select("rep", "v"), "short")
+    # so are those of another length than most
+    short = searched.join(seen, "rep", "left").filter(few).select("rep", "v").unionByName(others_searched.select("rep", "v"))
+    short, _ = settle(short, "short")
     found = found.drop("hits")
     if not short.isEmpty():
         met = found.join(short.select(F.col("rep").alias("query_rep")), "query_rep", "left_anti")

@@ -1,5 +1,7 @@
 """Recall of the neighbour search on vectors of other and of mixed norms."""
 
+from collections import defaultdict
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -24,3 +26,20 @@ def test_recall_does_not_depend_on_norms(spark, norms):
         hits.append(len(set(ids[best]) & set(group["vec_id"])) / 10)
     print(norms, len(hits), np.mean(hits))
     assert len(hits) == (ids % 20 == 0).sum() and np.mean(hits) >= 0.9
+
+
+def test_each_length_has_its_own_neighbours(spark, monkeypatch):
+    """Vectors of every length are queries and candidates; small blocks split the rarer lengths too."""
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=(4, 4, 4, 3, 2)[i % 5])]) for i in range(1000)] + [(1000, [5.0] * 7)]
+    found = defaultdict(list)
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5, F.col("vec_id") % 25 < 5).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    hits = []
+    for i, v in rows[:1000]:
+        if i % 25 < 5:
+            best = sorted((float(np.linalg.norm(np.subtract(v, w))), j) for j, w in rows if j != i and len(w) == len(v))[:5]
+            hits.append(len({j for _, j in best} & set(found[i])) / 5)
+            assert len(v) == 4 or found[i] == [j for _, j in best]
+    assert np.mean(hits) >= 0.9 and 1000 not in found
