@@ -183,7 +183,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = SEED, id_column: str = "doc_id", text_column: str = "text") -> Scorer:
-    """Labeller accuracies from the votes on all documents, then a scorer trained on about ``sample`` of them.
+    """Labeller accuracies from the votes on all documents, then a scorer trained on at most ``sample`` of them.
+
+    The sample is of different texts, those of smallest hash; copies teach once.
 
     The driver sees one row a vote pattern (3 to the power of the labellers at
     most) and the hashed features of the sample.  An empty table gives a scorer
@@ -196,18 +198,22 @@ def fit(docs: DataFrame, sample: int = SAMPLE, seed: int = SEED, id_column: str
         return train([], np.zeros(0))
     counts = np.array([r["n"] for r in patterns], float)
     model = estimate(np.array([r["votes"] for r in patterns]), counts)
-    below = int(min(1.0, sample / counts.sum()) * (1 << 60))
-    drawn = docs.filter(unit_hash(seed, id_column, F.xxhash64(text_column)) <= below).select(id_column, text_column).limit(2 * sample)
+    # a hash below this keeps about twice the sample of texts that differ; the last of the sample by hash is then the border
+    place = unit_hash(seed, F.xxhash64(text_column))
+    below = int(min(1.0, 2 * sample / counts.sum()) * (1 << 60))
+    border = docs.select(place.alias("h")).filter(F.col("h") <= below).distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    drawn = docs.select(place.alias("h"), F.col(text_column).alias("text")).filter(F.col("h") <= F.lit(-1 if border is None else border))
+    drawn = drawn.groupBy("h").agg(F.any_value("text").alias("text"))
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             found = [np.unique(_features.of(t), return_counts=True) for t in texts]
-            return {"votes": [votes(t) for t in texts], "at": [f[0] for f in found], "n": [f[1] for f in found]}
+            return {"h": batch.column(0), "votes": [votes(t) for t in texts], "at": [f[0] for f in found], "n": [f[1] for f in found]}
 
         return work
 
-    rows = map_batches(drawn, make, "votes array<tinyint>, at array<int>, n array<int>").filter(F.size("at") > 0).collect()  # 2 * sample at most
+    rows = map_batches(drawn, make, "h long, votes array<tinyint>, at array<int>, n array<int>").filter(F.size("at") > 0).orderBy("h").collect()  # the sample
     if not rows:
         return train([], np.zeros(0))
     labels = model.posterior(np.array([r["votes"] for r in rows]))
