@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import kind_of, map_batches
-from pairloom.session import settle
+from pairloom.session import bounded_rows, drop_scratch, settle
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _BREAK = r"(?:\s|\\[nr])"
@@ -52,6 +52,7 @@ NAMES = re.compile(r"key|token|secret|passw|pwd|auth|credential|bearer", re.IGNO
 PATHS = re.compile(r"env|conf|cred|secret|key|\.pem|\.ya?ml|\.ini|\.json", re.IGNORECASE)
 BEARER_BEFORE = re.compile(r"\b(?:bearer|basic)[ \t]+\Z", re.IGNORECASE)
 WORD = re.compile(r"[A-Za-z]{3,}")
+LETTERS = 26
 HEX = re.compile(r"[0-9a-fA-F]+\Z")
 #: Characters looked at before and after a candidate.
 NEAR = 40
@@ -293,13 +294,11 @@ def labelled(docs: DataFrame, language: Language, label: Callable[[list[float]],
     return docs.mapInArrow(work, "secret boolean, place long, row array<double>")
 
 
-def fit(
-    docs: DataFrame, label: Callable[[list[float]], bool] = rule_label, most: int = FINDINGS, seed: int = SEED,
-    id_column: str = "doc_id", text_column: str = "text", path_column: str = "source",
-) -> Detector:
-    """Dictionary and transitions from all texts; forest from at most ``most`` findings of each class among all, by hash.
+def corpus_language(docs: DataFrame, text_column: str = "text", most: int = DICTIONARY) -> Language:
+    """Transitions of all words of all texts, each word once a text; dictionary of the words that most texts hold.
 
-    ``label`` tells the true findings.  Made-up cases (``made_up``) go with them, so neither class is ever empty.
+    The dictionary has at most ``most`` words.  Words are sorted into steps of equal frequency (exact below 64, of about
+    one percent above) and whole steps are taken, so the driver sees a row a step and the words taken.
     """
 
     def make():
@@ -311,14 +310,42 @@ def fit(
 
         return work
 
-    seen = map_batches(docs.select(text_column), make, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = seen.filter("n > 1").orderBy(F.desc("n"), "word").limit(5 * DICTIONARY).collect()
-    language = learn_language(Counter({r["word"]: r["n"] for r in words}))
+    counted = map_batches(docs.select(text_column), make, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    seen, path = settle(counted.withColumn("step", F.floor(F.log2("n") * 64)), "words")
+    pair = F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring(F.col("word"), i, 2)))
+    pairs = bounded_rows(seen.select(pair.alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n")), LETTERS**2, "the transitions")
+    steps = bounded_rows(seen.filter("n > 1").groupBy("step").agg(F.count(F.lit(1)).alias("words")), 64 * 64, "the steps")
+    border, room = None, most
+    for row in sorted(steps, key=lambda r: -r["step"]):
+        room -= row["words"]
+        if room < 0:
+            break
+        border = row["step"]
+    words = [] if border is None else bounded_rows(seen.filter((F.col("n") > 1) & (F.col("step") >= border)).select("word"), most, "the dictionary")
+    drop_scratch(docs.sparkSession, path)
+    total = sum(r["n"] for r in pairs)
+    return Language(frozenset(r["word"] for r in words), {r["pair"]: float(np.log(r["n"] / total)) for r in sorted(pairs)})
+
+
+def fit(
+    docs: DataFrame, label: Callable[[list[float]], bool] = rule_label, most: int = FINDINGS, seed: int = SEED,
+    id_column: str = "doc_id", text_column: str = "text", path_column: str = "source",
+) -> Detector:
+    """Dictionary and transitions from all texts; forest from about ``most`` findings of each class among all, by hash.
+
+    ``label`` tells the true findings.  Made-up cases (``made_up``) go with them, so neither class is ever empty.
+    """
+
+    language = corpus_language(docs, text_column)
     found, _ = settle(labelled(docs.select(text_column, path_column), language, label, most, seed), "findings")
+    drawn, _ = settle(found.groupBy("secret", "place").agg(F.min("row").alias("row")), "drawn")
     cases = made_up(language, seed)
     for secret in (False, True):
-        drawn = found.filter(F.col("secret") == secret).groupBy("place").agg(F.min("row").alias("row")).orderBy("place").limit(most).collect()
-        cases += [(r["row"], secret) for r in drawn]
+        own = drawn.filter(F.col("secret") == secret)
+        n = own.count()
+        # the border is exact to a ten thousandth of the rows
+        border = own.agg(F.percentile_approx("place", min(1.0, most / max(1, n)), 10_000)).first()[0]
+        cases += [(r["row"], secret) for r in own.filter(F.col("place") <= F.lit(border)).collect()] if n else []
     cases.sort()
     return Detector(language, Forest(seed).fit(np.array([c[0] for c in cases]), np.array([c[1] for c in cases])))
 

@@ -62,3 +62,20 @@ def test_overlapping_shapes_are_one_candidate():
     text = f'password="sk-{KEY}1!restofpassword99" next'
     assert [text[a:b] for a, b in findings.spans(text)] == [f"sk-{KEY}1!restofpassword99"]
     assert findings.spans("") == findings.spans(None) == []
+
+
+def test_language_comes_from_all_words(spark, monkeypatch):
+    """Transitions count words that only one text holds; the dictionary takes whole steps of frequency."""
+    texts = ["alpha beta gamma", "Alpha beta delta", "alpha zulu", None, "", "rare"] * 3 + ["once"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = findings.Counter()
+    for t in texts:
+        counts.update({w.lower() for w in findings.WORD.findall(t or "")})
+    want = findings.learn_language(counts)
+    got = findings.corpus_language(docs)
+    assert got.words == want.words and "once" not in got.words and got.transitions.keys() == want.transitions.keys()
+    assert all(abs(got.transitions[p] - want.transitions[p]) < 1e-12 for p in want.transitions) and "nc" in got.transitions
+    assert findings.corpus_language(docs, most=3).words == {"alpha", "beta"}
+    assert findings.corpus_language(docs, most=0).words == frozenset()
+    none = findings.corpus_language(docs.filter("false"))
+    assert none.words == frozenset() and none.transitions == {}
