@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,9 +10,16 @@ from pyspark.sql import types as T
 from pairloom.functions.patterns import END_OF_TEXT
 
 
-@F.pandas_udf(T.StringType())
-def _without_invalid(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", errors="ignore"))
+ROWS = 256  # decoded at once; bounds Python's copies of the texts
+
+
+@F.arrow_udf(T.StringType())
+def _without_invalid(raw: pa.Array) -> pa.Array:
+    def decoded(part: pa.Array) -> pa.Array:
+        return pa.array([None if b is None else b.decode("utf-8", errors="ignore") for b in part.to_pylist()], pa.string())
+
+    parts = [decoded(raw.slice(at, ROWS)) for at in range(0, len(raw), ROWS)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def decode_text(raw: Column, on_invalid: str = "replace", normalize_newlines: bool = False) -> Column:
