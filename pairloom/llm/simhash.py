@@ -11,6 +11,8 @@ are then checked before the full distance is.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,12 +38,17 @@ def fingerprint(text: str | None, words: int) -> int:
         return 0
     digest = xxhash.xxh64_intdigest
     n = max(1, len(found) - words + 1)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, n, CHUNK):
-        part = range(at, min(n, at + CHUNK))
-        hashes = np.fromiter((digest(b" ".join(found[i : i + words]), SEED) for i in part), np.uint64, len(part))
+    parts = (range(at, min(n, at + CHUNK)) for at in range(0, n, CHUNK))
+    return majority(np.fromiter((digest(b" ".join(found[i : i + words]), SEED) for i in part), np.uint64, len(part)) for part in parts)
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The fingerprint of unsigned hashes that come in parts; 0 of no hashes."""
+    counts, n = np.zeros(64, np.int64), 0
+    for hashes in parts:
         bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 

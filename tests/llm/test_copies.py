@@ -5,7 +5,7 @@ import random
 
 import corpus_pipeline
 from conftest import SMALL
-from pairloom.llm import copies
+from pairloom.llm import copies, simhash
 
 
 def runs(text):
@@ -77,3 +77,36 @@ def test_texts_around_one_passage(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"] for r in copies.keep_first(docs).collect()}
     assert got == {rows[k][0] for k in brute_survivors(rows)} and len(got) > 100
+
+
+def test_stage_compares_texts_of_near_fingerprints(spark):
+    """The first links come from fingerprints of five-word shingles, with equal ones met by one node."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = [r["text"] for r in docs.collect()] + planted(random.Random(4))
+    prints = [copies.fingerprint(copies.shingles(t)) for t in texts]
+    assert prints[:50] == [simhash.majority([copies.shingles(t)]) for t in texts[:50]]
+    nodes = list(enumerate([*prints, *prints[:3]]))
+    frame = spark.createDataFrame(nodes, "node long, fp long")
+    got = {frozenset(r) for r in copies.near_prints(frame).collect()}
+    least = {}
+    for node, fp in nodes:
+        least.setdefault(fp, node)
+    mask = (1 << 64) - 1
+    want = {frozenset((a, b)) for x, a in least.items() for y, b in least.items() if a < b and ((x ^ y) & mask).bit_count() <= simhash.MAX_BITS}
+    assert got == want | {frozenset((least[fp], n)) for n, fp in nodes if least[fp] != n} and len(want) >= 5
+
+
+def test_sketches_part_no_similar_sets():
+    """Sketches differ in no more bits than sets in shingles, and tell most sets at 0.7 apart from those at 0.8."""
+    rng = np.random.default_rng(6)
+    apart = 0
+    for k in range(200):
+        base = np.unique(rng.integers(0, 1 << 63, 300, np.uint64))
+        n = int(rng.integers(0, 60))
+        other = np.concatenate([base[n:], rng.integers(0, 1 << 63, n, np.uint64)])
+        bits = sum(int(x).bit_count() for x in (copies.parities(base) ^ copies.parities(np.sort(other))).view(np.uint64))
+        assert bits <= len(np.setxor1d(base, other))
+        far = np.concatenate([base[55:], rng.integers(0, 1 << 63, 55, np.uint64)])  # 245 of 355 in common
+        bits = sum(int(x).bit_count() for x in (copies.parities(base) ^ copies.parities(far)).view(np.uint64))
+        apart += bits > 600 / 9
+    assert apart > 180
