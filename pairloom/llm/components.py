@@ -11,16 +11,22 @@ from pairloom.session import drop_scratch, settle
 MOST_ROUNDS = 60
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Hang the larger (``large``) or the not larger neighbours of each node on its smallest neighbour."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    smallest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-    smallest = smallest.select("node", F.least("node", "m").alias("m"))
-    side = both.filter(F.col("b") > F.col("a")) if large else both.filter(F.col("b") < F.col("a"))
-    hung = side.join(smallest, side["a"] == smallest["node"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    if not large:
-        hung = hung.unionByName(smallest.select(F.col("node").alias("a"), F.col("m").alias("b")))
-    return hung.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+def _stars(edges: DataFrame) -> DataFrame:
+    """A round on edges from a greater to a smaller end: a large star, then a small one.
+
+    First the greater neighbours of each node hang on the smallest of it and its
+    neighbours, then each node and its smaller neighbours on the smallest of these.  No
+    smallest neighbour has to be looked for on both sides: it stands in ``b`` or there is none.
+    """
+
+    def least(frame: DataFrame) -> DataFrame:
+        return frame.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+
+    first = least(edges)
+    large = edges.join(first, edges["b"] == first["node"], "left").select("a", F.coalesce("m", "b").alias("b"))
+    second = least(large)
+    small = large.join(second, large["a"] == second["node"]).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+    return small.filter("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,7 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
         if found == before or not found["n"]:
             break
         before = found
-        after, new_path = settle(_star(_star(stars, large=True), large=False), "stars")
+        after, new_path = settle(_stars(stars), "stars")
         drop_scratch(spark, path)
         stars, path = after, new_path
     else:

@@ -107,12 +107,12 @@ def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def similar(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
-    """Those of the pairs ``(a, b)`` of nodes whose sets are at least ``share`` similar."""
+    """Those of the pairs ``(a, b, ...)`` of nodes whose sets are at least ``share`` similar."""
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
     common = F.size(F.array_intersect("grams_a", "grams_b"))
     enough = common >= share * (F.size("grams_a") + F.size("grams_b") - common) - 1e-9
-    return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(enough).select(*pairs.columns)
 
 
 def rarest(sets: DataFrame, share: float) -> DataFrame:
@@ -187,19 +187,23 @@ def links(texts: DataFrame, sets_of: Callable[[DataFrame], DataFrame], share: fl
     def near(a: str, b: str) -> Column:
         return F.least(a, b) >= share * F.greatest(a, b) - 1e-9
 
-    def named(edges: DataFrame) -> DataFrame:
-        found = members.join(components(edges), "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    def named(grouped: DataFrame, edges: DataFrame) -> DataFrame:
+        """``grouped`` after the components that the edges connect have become one."""
+        least = components(edges).select(F.col("node").alias("component"), F.col("component").alias("least"))
+        found = grouped.join(least, "component", "left").select("key", "node", "n", F.coalesce("least", "component").alias("component"))
         return settle(found, "grouped")[0]
 
     edges, _ = settle(similar(alike, sets, share), "edges")
-    grouped = named(edges)
+    grouped = named(members.withColumn("component", F.col("node")), edges)
     for turn in range(STARS):
         head = grouped.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", "n", "component")).alias("head"))
         head, _ = settle(head.select("key", F.col("head.node").alias("b"), F.col("head.n").alias("m"), F.col("head.component").alias("other")), "heads")
         stars = grouped.join(head, "key").filter((F.col("component") != F.col("other")) & near("n", "m"))
-        pairs, _ = settle(stars.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "pairs")
-        edges, _ = settle(edges.unionByName(similar(pairs, sets, share)), "edges")
-        grouped = named(edges)
+        # a node has one component, so this is one row a pair
+        pairs, _ = settle(stars.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), F.least("component", "other").alias("low"), F.greatest("component", "other").alias("high")).distinct(), "pairs")
+        fresh, _ = settle(similar(pairs, sets, share), "fresh")
+        edges = edges.unionByName(fresh.select("a", "b"))
+        grouped = named(grouped, fresh.select(F.col("high").alias("a"), F.col("low").alias("b")))
     # texts that a bucket still holds in several components meet again by their rarest shingles
     border = [F.min("component").alias("low"), F.max("component").alias("high")]
     mixed, _ = settle(grouped.groupBy("key").agg(*border).filter("low <> high").select("key"), "mixed")
