@@ -42,14 +42,11 @@ def decode(
     if on_unknown not in ("error", "null"):
         raise ValueError("on_unknown must be 'error' or 'null'")
     table = token_table(vocab)
-    parts = F.transform(ids_col, lambda i: F.nullif(F.get(table, i), F.lit("-")))
-    whole = F.unhex(F.array_join(parts, ""))
-    text = F.make_valid_utf8(whole.cast("string"))
-    complete = F.forall(ids_col, lambda i: F.coalesce(F.get(table, i) != F.lit("-"), F.lit(False)))
+    # one step a token; what is no hex makes the whole null
+    parts = F.transform(ids_col, lambda i: F.coalesce(F.get(table, i), F.lit("-")))
+    text = F.make_valid_utf8(F.unhex(F.array_join(parts, "")).cast("string"))
     unknown = F.raise_error(F.lit("id without a token")).cast("string") if on_unknown == "error" else F.lit(None).cast("string")
-    return encoded.withColumn(
-        out_col, F.when(F.col(ids_col).isNotNull(), F.when(complete, text).otherwise(unknown))
-    )
+    return encoded.withColumn(out_col, F.when(F.col(ids_col).isNotNull(), F.coalesce(text, unknown)))
 
 
 def roundtrip_audit(
@@ -63,7 +60,6 @@ def roundtrip_audit(
     Only a text's digest goes along with its ids.  The texts of the rows that
     differ, none unless something is wrong, are fetched afterwards.
     """
-    spark = docs.sparkSession
     cut = docs.select(*keys, F.col(text_col).alias("text"), F.sha2(text_col, 256).alias("_digest"))
     encoded = encode_documents(cut, tokenizer, "text", (*keys, "_digest"))
     back = decode(encoded, tokenizer.vocab, out_col="decoded")
@@ -71,7 +67,7 @@ def roundtrip_audit(
     # a written table has a size, by which Spark chooses the join
     bad, _ = settle(back.filter(differ).select(*keys, "_digest", "decoded"), "differing")
     if bad.isEmpty():
-        return spark.createDataFrame([], bad.schema).select(*keys, F.lit("").alias("text"), "decoded")
+        return bad.limit(0).select(*keys, F.lit("").alias("text"), "decoded")
     bad = bad.distinct().select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_digest").alias("_of"), "decoded")
     same = F.col("_digest") == F.col("_of")
     for k in keys:
